@@ -19,12 +19,12 @@ from pairloom.plans import merge, stages
 # --- stage chain --------------------------------------------------------------
 
 STAGED = f"""{sql.PAIRS},{sql.ruled('dataset,')},{_text_cosine('ruled')},
-similar AS (SELECT r.pair_id, dataset, replace(src, chr(10), ' ') AS src, replace(tgt, chr(10), ' ') AS tgt
+alike AS (SELECT r.pair_id, dataset, replace(src, chr(10), ' ') AS src, replace(tgt, chr(10), ' ') AS tgt
             FROM ruled r JOIN text_sim USING (pair_id) WHERE cos > 0.7),
 {sql.profile('p3', 3)},
-{sql.detect('dsrc', 'similar', 'pair_id', 'src', 'p3', 3)},
-{sql.detect('dtgt', 'similar', 'pair_id', 'tgt', 'p3', 3)},
-spoken AS (SELECT p.* FROM similar p JOIN dsrc s ON s.k = pair_id JOIN dtgt t ON t.k = pair_id
+{sql.detect('dsrc', 'alike', 'pair_id', 'src', 'p3', 3)},
+{sql.detect('dtgt', 'alike', 'pair_id', 'tgt', 'p3', 3)},
+spoken AS (SELECT p.* FROM alike p JOIN dsrc s ON s.k = pair_id JOIN dtgt t ON t.k = pair_id
            WHERE s.code IN ('en', 'fr') AND s.score >= 0.6 AND t.code IN ('en', 'fr') AND t.score >= 0.6),
 {sql.QUALITY_TABLE},
 binned AS ({sql.bins('spoken', 'pair_id, dataset, src, tgt')}),
@@ -36,7 +36,7 @@ funnel AS (
          coalesce(l, 0) AS after_language, coalesce(g, 0) AS after_quality
   FROM (SELECT dataset, count(*) AS original FROM pw GROUP BY dataset)
   LEFT JOIN (SELECT dataset, count(*) AS r FROM ruled GROUP BY dataset) USING (dataset)
-  LEFT JOIN (SELECT dataset, count(*) AS s FROM similar GROUP BY dataset) USING (dataset)
+  LEFT JOIN (SELECT dataset, count(*) AS s FROM alike GROUP BY dataset) USING (dataset)
   LEFT JOIN (SELECT dataset, count(*) AS l FROM spoken GROUP BY dataset) USING (dataset)
   LEFT JOIN (SELECT dataset, count(*) AS g FROM good GROUP BY dataset) USING (dataset))"""
 
@@ -46,7 +46,7 @@ def standard_stages(spark: SparkSession, sf_dir: str) -> list[stages.Stage]:
     learned = quality.train_quality(labelled_pairs(spark, sf_dir), "quality")
     side = Side(["en", "fr"], 0.6)
     return [
-        stages.semantic_stage(semantic.gram_encoder(), 0.7),
+        stages.semantic_stage(semantic.gram_similarity(), 0.7),
         stages.language_stage((detector, detector), side, side),
         stages.quality_stage(learned, 0.8),
     ]

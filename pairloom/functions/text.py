@@ -34,7 +34,10 @@ def is_blank(x: Column | str) -> Column:
 
 
 def strip(x: Column | str) -> Column:
-    return F.btrim(_col(x), F.lit(WHITESPACE))
+    """White space off both ends; texts that start and end with a letter are not copied."""
+    x = _col(x)
+    ends = F.left(x, F.lit(1)).isin(list(WHITESPACE)) | F.right(x, F.lit(1)).isin(list(WHITESPACE))
+    return F.when(ends, F.btrim(x, F.lit(WHITESPACE))).otherwise(x)
 
 
 def newline_to_space(x: Column | str) -> Column:
@@ -47,4 +50,4 @@ def strip_label_prefix(x: Column | str) -> Column:
 
 def word_set(x: Column | str) -> Column:
     """Distinct space-separated tokens, empty ones left out."""
-    return F.array_distinct(F.filter(F.split(_col(x), " "), lambda t: t != ""))
+    return F.array_distinct(F.array_remove(F.split(_col(x), " "), ""))

@@ -43,15 +43,17 @@ def lookup_join(
     how: str,
     limit: int = BROADCAST_BYTES,
     salts: int = SALTS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """``big`` joined to ``lookup`` (unique on ``right``); null keys match null keys.
 
     ``how`` is inner, left, left_semi or left_anti.  The key column of the lookup side is
-    not part of the result.
+    not part of the result.  ``sized_by`` is measured in place of a lookup that is costly
+    to compute: a cheap table with at least as many rows (e.g. the distinct keys).
     """
     key = F.col("lookup." + right)
     match = F.col("big." + left).eqNullSafe(key)
-    if fits_broadcast(lookup, limit):
+    if fits_broadcast(lookup if sized_by is None else sized_by, limit):
         joined = big.alias("big").join(F.broadcast(lookup).alias("lookup"), match, how)
     else:
         # Rows of one hot key go to `salts` tasks; each finds its own copy of the lookup row.

@@ -6,7 +6,8 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions import grams
@@ -23,25 +24,22 @@ def gram_counts(labelled: DataFrame, lang: str, text: str, n: int) -> DataFrame:
     A task holds one array of 65536 counts per language, whatever the size of its input.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
-            for code, rows in batch.groupby("lang"):
-                texts = rows["text"].tolist()
+            langs = batch.column("lang")
+            for code in langs.unique().to_pylist():
+                texts = batch.column("text").filter(pa.compute.equal(langs, code))
                 total = counts.setdefault(code, np.zeros(grams.BUCKETS, dtype=np.int64))
-                for start, stop in grams.chunks_of_text(texts):
-                    ids, first, last = grams.gram_ids(texts[start:stop], n)
-                    inside = np.zeros(len(ids) + 1, dtype=np.int64)
-                    np.add.at(inside, first, 1)
-                    np.add.at(inside, last, -1)
-                    kept = ids[np.cumsum(inside[:-1]) > 0]
-                    total += np.bincount(kept, minlength=grams.BUCKETS)
+                for part in grams.text_chunks(texts):
+                    total += np.bincount(grams.gram_ids(part, n)[0], minlength=grams.BUCKETS)
         for code, total in counts.items():
             used = np.flatnonzero(total)
-            yield pd.DataFrame({"lang": code, "bucket": used, "n_grams": total[used]})
+            columns = [pa.array([code] * len(used)), pa.array(used), pa.array(total[used])]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "n_grams"])
 
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
-    partial = rows.mapInPandas(count, "lang string, bucket bigint, n_grams bigint")
+    partial = rows.mapInArrow(count, "lang string, bucket bigint, n_grams bigint")
     return partial.groupBy("lang", "bucket").agg(F.sum("n_grams").alias("n_grams"))
 
 
@@ -93,24 +91,21 @@ class LanguageDetector:
         languages = np.array(profile.languages, dtype=object)
         n, scale = profile.n, WEIGHT_SCALE
 
-        def detect(texts: pd.Series) -> pd.DataFrame:
+        def detect(texts: pa.Array) -> pa.Array:
             weights = shared.value
-            values = texts.tolist()
-            codes: list[str | None] = []
-            scores: list[float | None] = []
-            for start, stop in grams.chunks_of_text(values):
-                part = values[start:stop]
-                ids, first, last = grams.gram_ids(part, n)
-                sums = np.stack([grams.range_sums(row[ids], first, last) for row in weights])
-                best = sums.argmax(axis=0)
+            codes, scores = [], []
+            for part in grams.text_chunks(texts):
+                ids, counts = grams.gram_ids(part, n)
+                sums = np.stack([grams.text_sums(row[ids], counts) for row in weights])
                 gap = (sums - sums.max(axis=0)) / scale
-                share = 1.0 / np.exp(gap).sum(axis=0)
-                for text, code, score in zip(part, languages[best], share):
-                    codes.append(None if text is None else code)
-                    scores.append(None if text is None else float(score))
-            return pd.DataFrame({"code": codes, "score": scores})
-
-        self._udf = F.pandas_udf(detect, DETECTION)
+                absent = np.asarray(part.is_null())
+                codes.append(pa.array(np.where(absent, None, languages[sums.argmax(axis=0)]), pa.string()))
+                scores.append(pa.array(1.0 / np.exp(gap).sum(axis=0), pa.float64(), mask=absent))
+            if not codes:
+                codes, scores = [pa.array([], pa.string())], [pa.array([], pa.float64())]
+            return pa.StructArray.from_arrays([pa.concat_arrays(codes), pa.concat_arrays(scores)], ["code", "score"])
+
+        self._udf = F.arrow_udf(detect, DETECTION)
 
     def __call__(self, text: Column | str) -> Column:
         return self._udf(text)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pairloom.functions.text import word_set
 from pairloom.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
@@ -35,50 +35,62 @@ def drop_leaked(
 
 # Near matches: token-set Jaccard similarity above a threshold.
 #
-# Two sets above the threshold t share a token among the first n - ceil(t*n) + 1 tokens of
-# each, when both are sorted in one global order.  Sorted by how rare a token is in the
-# test set, tokens the test set lacks come first and can match nothing, so a text with m
-# known tokens of n is left with the first m - ceil(t*n) + 1 known ones.  Joining on those
-# rare tokens finds every candidate without pairing up all texts that share common words.
-
-
-def _needed(size: Column, threshold: float) -> Column:
-    return F.ceil(size * F.lit(threshold) - F.lit(1e-9)).cast("int")
-
-
-def _rare_tokens(texts: DataFrame, ranks: DataFrame, threshold: float, limit: int) -> DataFrame:
-    """(text_id, n, tokens, token) for the rare-token prefix of every text."""
-    words = texts.withColumn("n", F.size("tokens")).where("n > 0")
-    exploded = words.select("text_id", "n", F.explode("tokens").alias("token"))
-    if fits_broadcast(ranks, limit):
-        known = exploded.join(F.broadcast(ranks), "token")
-    else:
-        known = exploded.join(ranks, "token")
-    ordered = known.groupBy("text_id", "n").agg(F.array_sort(F.collect_list("rank")).alias("ranks"))
-    keep = F.size("ranks") - _needed(F.col("n"), threshold) + 1
-    return ordered.where(keep > 0).select(
-        "text_id", "n", "ranks", F.explode(F.slice("ranks", F.lit(1), keep)).alias("rank")
+# A set of n tokens that is at least t-similar to another shares a token with it among any
+# n - ceil(t*n) + 1 of its own tokens.  So a test text is found by that many of its tokens,
+# and the rarest ones are taken: a corpus text meets only the test texts it shares a rare
+# token with.  Every meeting is then decided on the whole token sets.
+
+
+def near_match_index(test: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(side, token, test_id, test_n) to find test texts by, and (test_id, test_tokens).
+
+    test_id is a hash: texts that should share one are all compared, so nothing is missed.
+    """
+    tokens = test.select("side", "text", word_set("text").alias("tokens")).where(F.size("tokens") > 0)
+    sets = tokens.select(
+        "side", F.xxhash64("text").alias("test_id"), F.col("tokens").alias("test_tokens"),
+        F.size("tokens").alias("test_n"),
+    )
+    single = sets.select("side", "test_id", "test_n", F.explode("test_tokens").alias("token"))
+    frequency = single.groupBy("side", "token").agg(F.count(F.lit(1)).alias("df"))
+    # Rare first; among equally rare ones the longer word is the likelier to be rare elsewhere.
+    order = F.struct("df", (-F.length("token")).alias("shortness"), "token")
+    ranked = single.join(frequency, ["side", "token"]).groupBy("side", "test_id", "test_n").agg(
+        F.array_sort(F.collect_list(order)).alias("ranked")
     )
+    needed = F.ceil(F.col("test_n") * F.lit(threshold) - F.lit(1e-9)).cast("int")
+    prefix = F.slice("ranked", F.lit(1), F.greatest(F.size("ranked") - needed + 1, F.lit(0)))
+    index = ranked.select("side", "test_id", "test_n", F.explode(prefix).alias("r")).select(
+        "side", F.col("r.token").alias("token"), "test_id", "test_n"
+    )
+    return index, sets.select("test_id", "test_tokens")
 
 
 def near_matches(
-    texts: DataFrame, test_texts: DataFrame, threshold: float, limit: int = BROADCAST_BYTES
+    pairs: DataFrame, test: DataFrame, threshold: float, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Ids of ``texts`` (text_id, tokens) with Jaccard similarity above ``threshold`` to any
-    of ``test_texts`` (same columns).  Exact: candidates are verified on whole sets."""
-    frequency = test_texts.select(F.explode("tokens").alias("token")).groupBy("token").count()
-    # The rank is the token's place in the global order: frequency first, token as tie-break.
-    ranks = frequency.select("token", F.struct("count", "token").alias("rank"))
-    corpus = _rare_tokens(texts, ranks, threshold, limit)
-    test = _rare_tokens(test_texts, ranks, threshold, limit).select(
-        "rank", F.col("n").alias("test_n"), F.col("ranks").alias("test_ranks")
-    )
-    if fits_broadcast(test.drop("rank"), limit):
-        test = F.broadcast(test)
-    candidates = corpus.join(test, "rank")
-    shared = F.size(F.array_intersect("ranks", "test_ranks"))
-    similarity = shared / (F.col("n") + F.col("test_n") - shared)
-    return candidates.where(similarity > threshold).select("text_id").distinct()
+    """pair_id of the pairs with a side above ``threshold`` to a test text (side, text).
+
+    Both sides go through one scan: tokens are looked up in the index, and no row is
+    shuffled before it is known to be a hit.
+    """
+    index, sets = near_match_index(test, threshold)
+    if fits_broadcast(index, limit) and fits_broadcast(sets, limit):
+        index, sets = F.broadcast(index), F.broadcast(sets)
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("text")) for s in ("src", "tgt")])
+    texts = pairs.select("pair_id", F.inline(sides)).select("pair_id", "side", word_set("text").alias("tokens"))
+    # The outer form spares the optimizer's own emptiness filter, which would split twice.
+    words = texts.select("pair_id", "side", "tokens", F.explode_outer("tokens").alias("token"))
+    met = words.join(index, ["side", "token"])
+    n, test_n = F.size("tokens"), F.col("test_n")
+    # Sets of too different sizes cannot be similar enough.
+    close = (n >= test_n * F.lit(threshold)) & (test_n >= n * F.lit(threshold))
+    judged = met.where(close).join(sets, "test_id")
+    shared = F.array(F.size(F.array_intersect("tokens", "test_tokens")))
+    both = n + F.size("test_tokens")
+    # "exists" names the size of the intersection, so that it is computed once.
+    similar = F.exists(shared, lambda s: s / (both - s) > F.lit(threshold))
+    return judged.where(similar).select("pair_id").distinct()
 
 
 def drop_near_leaked(
@@ -90,11 +102,9 @@ def drop_near_leaked(
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Drop a pair when its source or target is a near match of the test side."""
-    hits = None
-    for side, column in (("src", test_src), ("tgt", test_tgt)):
-        test_texts = test.select(F.col(column).alias("text_id")).distinct()
-        test_texts = test_texts.withColumn("tokens", word_set("text_id"))
-        texts = pairs.select(F.col("pair_id").alias("text_id"), word_set(side).alias("tokens"))
-        found = near_matches(texts, test_texts, threshold, limit)
-        hits = found if hits is None else hits.unionByName(found)
-    return pairs.join(hits.withColumnRenamed("text_id", "pair_id"), "pair_id", "left_anti")
+    sides = [
+        test.select(F.lit(side).alias("side"), F.col(column).alias("text"))
+        for side, column in (("src", test_src), ("tgt", test_tgt))
+    ]
+    hits = near_matches(pairs, sides[0].unionByName(sides[1]).distinct(), threshold, limit)
+    return pairs.join(hits, "pair_id", "left_anti")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pairloom.functions.fixed_values import QUALITY_THRESHOLD
 from pairloom.functions.text import strip, token_count
@@ -12,17 +12,26 @@ RATIO_BINS = 20
 TOKEN_BINS = 12
 
 
-def pair_bins(src: str = "src", tgt: str = "tgt") -> tuple[Column, Column]:
-    """Two coarse features of a stripped pair: how alike the lengths are (0 to 20) and how
-    long the longer side is (log2 of its tokens, 0 to 12)."""
-    a, b = strip(src), strip(tgt)
-    short, long = F.least(F.length(a), F.length(b)), F.greatest(F.length(a), F.length(b))
-    ratio = F.when(long == 0, F.lit(0)).otherwise(F.floor(short * RATIO_BINS / F.greatest(long, F.lit(1))))
-    tokens = F.greatest(token_count(a), token_count(b))
-    size = F.lit(0)
-    for bit in range(1, TOKEN_BINS + 1):
-        size = size + (tokens >= 2**bit).cast("int")
-    return ratio.cast("int"), size
+def with_bins(df: DataFrame) -> DataFrame:
+    """Two coarse features of the stripped texts: how alike their lengths are (ratio_bin, 0
+    to 20) and how long the longer one is (size_bin, log2 of its tokens, 0 to 12).
+
+    Each step is a projection of its own, so that no text is stripped or counted twice.
+    """
+    stripped = df.withColumns({"_a": strip("src"), "_b": strip("tgt")})
+    measured = stripped.withColumns({
+        "_short": F.least(F.length("_a"), F.length("_b")),
+        "_long": F.greatest(F.length("_a"), F.length("_b")),
+        "_tokens": F.greatest(token_count("_a"), token_count("_b")),
+    })
+    alike = F.floor(F.col("_short") * RATIO_BINS / F.greatest("_long", F.lit(1)))
+    # The binary digits of n are floor(log2 n) + 1.
+    size = F.least(F.length(F.bin("_tokens")) - 1, F.lit(TOKEN_BINS))
+    return measured.select(
+        *df.columns,
+        F.coalesce(alike.cast("int"), F.lit(0)).alias("ratio_bin"),
+        F.coalesce(size.cast("int"), F.lit(0)).alias("size_bin"),
+    )
 
 
 def train_quality(labelled: DataFrame, label: str = "label") -> DataFrame:
@@ -31,21 +40,15 @@ def train_quality(labelled: DataFrame, label: str = "label") -> DataFrame:
     It stands where a pretrained estimator would be plugged in.  There are at most
     21 * 13 bins, so the table has a fixed bound.
     """
-    ratio, size = pair_bins()
     good = F.sum(F.col(label).cast("bigint"))
     score = (good + 1) / (F.count(F.lit(1)) + 2)
-    return (
-        labelled.groupBy(ratio.alias("ratio_bin"), size.alias("size_bin"))
-        .agg(score.alias("quality"))
-    )
+    return with_bins(labelled.select("src", "tgt", label)).groupBy("ratio_bin", "size_bin").agg(score.alias("quality"))
 
 
 def score_quality(pairs: DataFrame, table: DataFrame) -> DataFrame:
     """Pairs with their ``quality``; a bin never seen in training scores one half."""
-    ratio, size = pair_bins()
-    binned = pairs.withColumns({"ratio_bin": ratio, "size_bin": size})
     # At most 21 * 13 rows: broadcast whatever the corpus size.
-    joined = binned.join(F.broadcast(table), ["ratio_bin", "size_bin"], "left")
+    joined = with_bins(pairs).join(F.broadcast(table), ["ratio_bin", "size_bin"], "left")
     return joined.select(*pairs.columns, F.coalesce("quality", F.lit(0.5)).alias("quality"))
 
 
@@ -62,4 +65,5 @@ def corpus_quality(df: DataFrame, score: str = "quality", by: str = "dataset") -
 def quality_gate(df: DataFrame, threshold: float, score: str = "quality", by: str = "dataset") -> DataFrame:
     """Document-level filter: keep the datasets whose mean score reaches the threshold."""
     good = df.groupBy(by).agg(F.avg(score).alias("mean")).where(F.col("mean") >= threshold)
-    return lookup_join(df, good.select(F.col(by).alias("good_key")), by, "good_key", "left_semi")
+    keys = good.select(F.col(by).alias("good_key"))
+    return lookup_join(df, keys, by, "good_key", "left_semi", sized_by=df.select(by).distinct())

@@ -36,32 +36,33 @@ def sample(
 ) -> DataFrame:
     """Exactly n rows per dataset without replacement: those with the smallest seeded hash.
 
-    A histogram of hash prefixes finds, per dataset, the bin in which the n-th row falls.
-    Rows in lower bins are kept by a plain filter; only the rows of that one bin, about a
-    millionth of the dataset, are ranked.
+    A histogram of hash prefixes finds, per dataset, the bin in which the n-th row falls;
+    only the ids of that bin, about a millionth of the dataset, are ranked to find the last
+    hash to keep.  The rows themselves are then filtered in one scan, without a shuffle.
     """
-    hashed = df.withColumn("_hash", shuffle_key(seed, "pair_id"))
+    ids = df.select("dataset", "pair_id", shuffle_key(seed, "pair_id").alias("_hash"))
     bin_of = F.substring("_hash", 1, HASH_DIGITS)
-    histogram = hashed.groupBy("dataset", bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    totals = histogram.groupBy("dataset").agg(F.sum("n").alias("total"))
-    wanted = totals.select(F.col("dataset"), _wanted(sizes, F.col("total")).alias("wanted"))
+    histogram = ids.groupBy("dataset", bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     # At most 16**5 bins per dataset are ordered here, not the rows.
-    order = Window.partitionBy("dataset").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("n").over(order), F.lit(0))
-    cuts = (
-        histogram.withColumn("before", before)
-        .join(wanted, "dataset")
-        .where((F.col("before") < F.col("wanted")) & (F.col("before") + F.col("n") >= F.col("wanted")))
-        .select(F.col("dataset").alias("cut_key"), F.col("bin").alias("cut_bin"),
-                (F.col("wanted") - F.col("before")).alias("need"))
-    )
-    # One row per dataset; a dataset of which nothing is wanted has none.
-    located = lookup_join(hashed, cuts, "dataset", "cut_key", "inner")
-    below = located.where(bin_of < F.col("cut_bin")).select(df.columns)
-    edge = located.where(bin_of == F.col("cut_bin"))
+    order = Window.partitionBy("dataset")
+    before = F.sum("n").over(order.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    counted = histogram.select(
+        "dataset", "bin", "n", F.coalesce(before, F.lit(0)).alias("before"), F.sum("n").over(order).alias("total")
+    ).withColumn("wanted", _wanted(sizes, F.col("total")))
+    cut_bins = counted.where(
+        (F.col("before") < F.col("wanted")) & (F.col("before") + F.col("n") >= F.col("wanted"))
+    ).select(F.col("dataset").alias("cut_key"), F.col("bin").alias("cut_bin"), (F.col("wanted") - F.col("before")).alias("need"))
+    # One row per dataset at most; a dataset of which nothing is wanted has none.
+    names = df.select("dataset").distinct()
+    edge = lookup_join(ids, cut_bins, "dataset", "cut_key", "inner", sized_by=names).where(bin_of == F.col("cut_bin"))
     rank = F.row_number().over(Window.partitionBy("dataset").orderBy("_hash", "pair_id"))
-    edge = edge.withColumn("_rank", rank).where(F.col("_rank") <= F.col("need")).select(df.columns)
-    return below.unionByName(edge)
+    last = edge.withColumn("rank", rank).where(F.col("rank") == F.col("need")).select(
+        F.col("dataset").alias("cut_key"), F.col("_hash").alias("cut_hash"), F.col("pair_id").alias("cut_id")
+    )
+    located = lookup_join(df, last, "dataset", "cut_key", "inner", sized_by=names)
+    own = shuffle_key(seed, "pair_id")
+    kept = (own < F.col("cut_hash")) | ((own == F.col("cut_hash")) & (F.col("pair_id") <= F.col("cut_id")))
+    return located.where(kept).select(df.columns)
 
 
 def row_cap(df: DataFrame, cap: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions import grams
@@ -18,27 +18,28 @@ DIMENSIONS = 64
 def gram_encoder(n: int = 3, dimensions: int = DIMENSIONS) -> Callable[[Column | str], Column]:
     """Built-in text encoder: counts of character n-grams folded into a fixed vector.
 
-    It stands where a pretrained sentence encoder would be plugged in; any pandas function
-    from texts to vectors can take its place.
+    It stands where a pretrained sentence encoder would be plugged in; any vectorised
+    function from texts to vectors can take its place.
     """
 
-    def encode(texts: pd.Series) -> pd.Series:
-        values = texts.tolist()
-        out: list[np.ndarray | None] = []
-        for start, stop in grams.chunks_of_text(values):
-            part = values[start:stop]
-            ids, first, last = grams.gram_ids(part, n)
-            owner = np.repeat(np.arange(len(part)), last - first)
-            inside = np.zeros(len(ids) + 1, dtype=np.int64)
-            np.add.at(inside, first, 1)
-            np.add.at(inside, last, -1)
-            kept = ids[np.cumsum(inside[:-1]) > 0] % dimensions
-            flat = np.bincount(owner * dimensions + kept, minlength=len(part) * dimensions)
-            vectors = flat.reshape(len(part), dimensions).astype(np.float32)
-            out.extend(None if t is None else v for t, v in zip(part, vectors))
-        return pd.Series(out, index=texts.index, dtype=object)
-
-    return F.pandas_udf(encode, "array<float>")
+    def encode(texts: pa.Array) -> pa.Array:
+        parts = []
+        for part in grams.text_chunks(texts):
+            values = grams.folded_counts(part, n, dimensions).astype(np.float32).ravel()
+            ends = np.arange(len(part) + 1, dtype=np.int32) * dimensions
+            parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=part.is_null()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
+
+    return F.arrow_udf(encode, "array<float>")
+
+
+def gram_similarity(n: int = 3, dimensions: int = DIMENSIONS) -> Callable[[Column | str, Column | str], Column]:
+    """Cosine of the two built-in vectors, without the vectors leaving the task's arrays."""
+
+    def similarity(src: pa.Array, tgt: pa.Array) -> pa.Array:
+        return pa.array(grams.cosines(src, tgt, n, dimensions), pa.float64(), from_pandas=True)
+
+    return F.arrow_udf(similarity, "double")
 
 
 def semantic_filter(

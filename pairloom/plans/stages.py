@@ -13,7 +13,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairloom.functions.vectors import cosine
 from pairloom.operators import language, quality
 from pairloom.operators.language import LanguageDetector, Side
 from pairloom.operators.rules import RuleOptions, rule_filter
@@ -29,11 +28,13 @@ class Stage:
     rewrite: Callable[[DataFrame], DataFrame] | None = None
 
 
-def semantic_stage(encode: Callable[[str], Column], threshold: float) -> Stage:
+def semantic_stage(similarity: Callable[[str, str], Column], threshold: float) -> Stage:
+    """``similarity`` is any scorer of two texts, e.g. ``semantic.gram_similarity()``."""
+
     def score(df: DataFrame) -> DataFrame:
-        return df.withColumns({"src_vector": encode("src"), "tgt_vector": encode("tgt")})
+        return df.withColumn("similarity", similarity("src", "tgt"))
 
-    return Stage("semantic", score, cosine("src_vector", "tgt_vector") > F.lit(threshold))
+    return Stage("semantic", score, F.col("similarity") > F.lit(threshold))
 
 
 def language_stage(detectors: tuple[LanguageDetector, LanguageDetector], src: Side, tgt: Side) -> Stage:
