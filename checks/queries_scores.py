@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import sql
 from checks.queries_rules import complete
 from checks.registry import query
-from checks.views import labelled_pairs, pairs, pairs_wide, quality_by_document, table, vector_pairs
+from checks.views import documents, labelled_pairs, pairs, pairs_wide, quality_by_document, table, vector_pairs
 from pairloom.functions.vectors import cosine
 from pairloom.operators import language, quality, semantic
 from pairloom.operators.language import LanguageProfile, Side
@@ -15,7 +15,7 @@ from pairloom.operators.scoring import attach_score
 
 
 def profile(spark: SparkSession, sf_dir: str, n: int = 3) -> LanguageProfile:
-    return LanguageProfile.train(table(spark, sf_dir, "documents"), n=n)
+    return LanguageProfile.train(documents(spark, sf_dir), n=n)
 
 
 def vector_text(name: str) -> F.Column:

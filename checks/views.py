@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pairloom.sources.spread import spread_small_input
+
 LINE_IDS = 1_000_000  # more than the lines of any document
 
 
@@ -11,10 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small_input(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+
+
 def pairs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjacent lines of every document, with the document's language; the last line of a
     document has a null target."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = documents(spark, sf_dir).select(
         "doc_id", "lang", F.col("source").alias("dataset"), F.split("text", "\n").alias("lines")
     )
     nexts = F.slice("lines", F.lit(2), F.size("lines"))
