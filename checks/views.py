@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small_input(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    return spread_small_input(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), "doc_id")
 
 
 def pairs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:

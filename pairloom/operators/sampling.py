@@ -71,6 +71,8 @@ def row_cap(df: DataFrame, cap: int) -> DataFrame:
     x comes from three histograms, each refining one bin of the one before by 2**20 ids, so
     no task ever ranks more than 2**20 rows, and only pair_id is read for it.
     """
+    if cap <= 0:
+        return df.where(F.lit(False))
     ids = df.select("pair_id")
     cut = _edge(ids.select(F.shiftright("pair_id", 40).alias("bin")), F.lit(cap).cast("bigint"))
     for shift in (20, 0):

@@ -21,7 +21,7 @@ from pairloom.plans.merge import finished_pairs, included_datasets, merge_metada
 from pairloom.plans.stages import COUNTS, Stage, flag_stages, stage_funnel, with_total
 from pairloom.session import cut_lineage
 from pairloom.sinks import files
-from pairloom.sources.catalog import Entry, read_catalog
+from pairloom.sources.catalog import Entry, named_entries, read_catalog
 
 
 @dataclass(frozen=True)
@@ -72,9 +72,10 @@ def process_datasets(
     manifest = read_manifest(spark, output)
     # One name per catalog entry: a list as long as the catalog.
     done = {r.dataset_name for r in manifest.select("dataset_name").collect()} if from_cache else set()
-    todo = [e for e in entries if e.name not in done]
+    named = named_entries(entries)
+    todo = [(name, entry.kind) for _, name, entry in named if name not in done]
     if todo:
-        pairs = read_catalog(spark, todo, output.src_lang, output.tgt_lang)
+        pairs = read_catalog(spark, entries, output.src_lang, output.tgt_lang, skip=done)
         # Scored once, written to the shared folder; output, counts and quality read that.
         flagged = cut_lineage(flag_stages(pairs, stages, rules), output.checkpoint_dir)
         kept = flagged.where(F.col("passed") == len(stages)).drop("passed")
@@ -87,12 +88,12 @@ def process_datasets(
             summary = funnel.withColumn("quality_score", F.lit(None).cast("double"))
         else:
             summary = funnel.join(corpus_quality(score_quality(kept, quality_table)), "dataset", "left")
-        kinds = spark.createDataFrame([(e.name, e.kind) for e in todo], "dataset string, source string")
+        kinds = spark.createDataFrame(todo, "dataset string, source string")
         summary = summary.join(kinds, "dataset", "left")
         files.write_metadata(
             dataset_metadata(summary, output.lang_pair, F.current_timestamp()), output.manifest
         )
-    wanted = [e.name for e in entries]
+    wanted = [name for _, name, _ in named]
     stored = read_manifest(spark, output).where(F.col("dataset_name").isin(wanted))
     latest = stored.groupBy("dataset_name").agg(
         F.max_by(F.struct("source", *COUNTS, "quality_score"), "processed_at").alias("r")

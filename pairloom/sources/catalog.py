@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -99,17 +99,35 @@ def _read_hub_table(spark: SparkSession, entry: Entry) -> DataFrame:
     return picked.select("position", "src", "tgt")
 
 
-def read_catalog(
-    spark: SparkSession, entries: Sequence[Entry], src_lang: str = "", tgt_lang: str = ""
-) -> DataFrame:
-    """All datasets in one table of pairs.  The place in the list is the dataset's rank and
-    the upper part of its pair ids; a name used twice gets its rank appended."""
+def named_entries(entries: Sequence[Entry]) -> list[tuple[int, str, Entry]]:
+    """(rank, dataset, entry): the rank is the place in the list; a name used before gets
+    its rank appended, so that two entries never share their output."""
     seen: set[str] = set()
-    parts = []
+    named = []
     for rank, entry in enumerate(entries):
         name = entry.name if entry.name not in seen else f"{entry.name}-{rank}"
         seen.add(name)
-        parts.append(as_pairs(read_entry(spark, entry, src_lang, tgt_lang), name, rank))
+        named.append((rank, name, entry))
+    return named
+
+
+def read_catalog(
+    spark: SparkSession,
+    entries: Sequence[Entry],
+    src_lang: str = "",
+    tgt_lang: str = "",
+    skip: Collection[str] = (),
+) -> DataFrame:
+    """All datasets (but those to skip) in one table of pairs.
+
+    The rank is the upper part of the pair ids, so a catalog that grows from run to run
+    grows at its end; skipped datasets keep their ranks.
+    """
+    parts = [
+        as_pairs(read_entry(spark, entry, src_lang, tgt_lang), name, rank)
+        for rank, name, entry in named_entries(entries)
+        if name not in skip
+    ]
     if not parts:
-        raise ValueError("the catalog has no entries")
+        raise ValueError("the catalog has no entries to read")
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Rows dealt out over the cores when a scan has fewer splits than there are cores.
+def spread_small_input(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread by a unique key when a scan has fewer splits than there are cores.
 
     A small Parquet file often has one row group, which one task reads alone.  An input with
     at least one split per core comes back unchanged: large data is not shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
