@@ -20,14 +20,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pairs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjacent lines of every document, with the document's language; the last line of a
     document has a null target."""
-    docs = documents(spark, sf_dir).select(
-        "doc_id", "lang", F.col("source").alias("dataset"), F.split("text", "\n").alias("lines")
-    )
+    return adjacent_lines(documents(spark, sf_dir))
+
+
+def adjacent_lines(docs: DataFrame) -> DataFrame:
+    extra = [c for c in docs.columns if c not in ("text", "source")]
+    lines = docs.select(*extra, F.col("source").alias("dataset"), F.split("text", "\n").alias("lines"))
     nexts = F.slice("lines", F.lit(2), F.size("lines"))
-    rows = docs.select("doc_id", "lang", "dataset", F.posexplode(F.arrays_zip(F.col("lines").alias("s"), nexts.alias("t"))))
+    rows = lines.select(*extra, "dataset", F.posexplode(F.arrays_zip(F.col("lines").alias("s"), nexts.alias("t"))))
     return rows.select(
         (F.col("doc_id") * LINE_IDS + F.col("pos") + 1).alias("pair_id"),
-        "dataset", "lang", "doc_id", F.col("col.s").alias("src"), F.col("col.t").alias("tgt"),
+        "dataset", *extra, F.col("col.s").alias("src"), F.col("col.t").alias("tgt"),
     )
 
 
@@ -65,6 +68,7 @@ def quality_by_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs with both sides present, and their document's quality where it is known."""
-    labels = quality_by_document(spark, sf_dir)
-    return pairs_wide(spark, sf_dir).where("tgt is not null").join(labels, "doc_id")
+    """Pairs with both sides present, of the documents with a label, and that label.  The
+    join is made while there is one row per document."""
+    labelled = documents(spark, sf_dir).join(quality_by_document(spark, sf_dir), "doc_id")
+    return adjacent_lines(labelled).where("tgt is not null")

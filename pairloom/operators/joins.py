@@ -57,7 +57,8 @@ def lookup_join(
         joined = big.alias("big").join(F.broadcast(lookup).alias("lookup"), match, how)
     else:
         # Rows of one hot key go to `salts` tasks; each finds its own copy of the lookup row.
-        spread = big.withColumn("salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
+        identity = ["pair_id"] if "pair_id" in big.columns else big.columns
+        spread = big.withColumn("salt", F.pmod(F.xxhash64(*identity), F.lit(salts)))
         copies = lookup.withColumn(
             "copy", F.explode(F.array([F.lit(i).cast("bigint") for i in range(salts)]))
         )

@@ -71,21 +71,27 @@ def near_matches(
 ) -> DataFrame:
     """pair_id of the pairs with a side above ``threshold`` to a test text (side, text).
 
-    Both sides go through one scan: tokens are looked up in the index, and no row is
-    shuffled before it is known to be a hit.
+    Both sides go through one scan: tokens are looked up in the index, and with a test set
+    of broadcast size no row is shuffled before it is known to be a hit.
     """
     index, sets = near_match_index(test, threshold)
-    if fits_broadcast(index, limit) and fits_broadcast(sets, limit):
-        index, sets = F.broadcast(index), F.broadcast(sets)
+    small = fits_broadcast(index, limit) and fits_broadcast(sets, limit)
     sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("text")) for s in ("src", "tgt")])
     texts = pairs.select("pair_id", F.inline(sides)).select("pair_id", "side", word_set("text").alias("tokens"))
     # The outer form spares the optimizer's own emptiness filter, which would split twice.
-    words = texts.select("pair_id", "side", "tokens", F.explode_outer("tokens").alias("token"))
-    met = words.join(index, ["side", "token"])
-    n, test_n = F.size("tokens"), F.col("test_n")
+    words = texts.select("pair_id", "side", "tokens", F.size("tokens").alias("n"), F.explode_outer("tokens").alias("token"))
+    n, test_n = F.col("n"), F.col("test_n")
     # Sets of too different sizes cannot be similar enough.
     close = (n >= test_n * F.lit(threshold)) & (test_n >= n * F.lit(threshold))
-    judged = met.where(close).join(sets, "test_id")
+    if small:
+        met = words.join(F.broadcast(index), ["side", "token"]).where(close)
+        judged = met.join(F.broadcast(sets), "test_id")
+    else:
+        # Single words are shuffled, not whole texts; a frequent word's partition is split
+        # by adaptive execution.  The sets are fetched for the candidates only.
+        met = words.drop("tokens").join(index, ["side", "token"]).where(close)
+        candidates = met.select("pair_id", "side", "n", "test_id").distinct()
+        judged = candidates.join(texts, ["pair_id", "side"]).join(sets, "test_id")
     shared = F.array(F.size(F.array_intersect("tokens", "test_tokens")))
     both = n + F.size("test_tokens")
     # "exists" names the size of the intersection, so that it is computed once.

@@ -94,7 +94,19 @@ def shuffle_rows(df: DataFrame, seed: str) -> DataFrame:
     return df.withColumn("shuffle_key", shuffle_key(seed, "pair_id")).orderBy("shuffle_key", "pair_id")
 
 
-def _normalise(df: DataFrame, options: RuleOptions) -> DataFrame:
+def pairwise_rules(df: DataFrame, options: RuleOptions = RuleOptions()) -> DataFrame:
+    """The tests that look only at the texts of one pair as they came in."""
+    return (
+        df.transform(drop_null)
+        .transform(drop_identical)
+        .transform(drop_token_ratio, options.max_length_ratio)
+        .transform(drop_max_tokens, options.max_length)
+        .transform(drop_min_chars, options.min_length)
+    )
+
+
+def normalise(df: DataFrame, options: RuleOptions = RuleOptions()) -> DataFrame:
+    """Markup, spaces and, if wanted, letter case."""
     df = df.transform(clean_markup).transform(collapse_spaces)
     return df.transform(lowercase) if options.lowercase else df
 
@@ -102,19 +114,13 @@ def _normalise(df: DataFrame, options: RuleOptions) -> DataFrame:
 def rule_filter(
     df: DataFrame, options: RuleOptions = RuleOptions(), scope: Sequence[str] = ("dataset",)
 ) -> DataFrame:
-    """All rules.  The tests that look only at the pair's own text run before the shuffle
-    of the distinct step: duplicates share the verdict, so the result is the same and the
-    shuffle carries survivors only.  There is no second distinct after cleaning."""
-    survivors = (
-        df.transform(drop_null)
-        .transform(drop_identical)
-        .transform(drop_token_ratio, options.max_length_ratio)
-        .transform(drop_max_tokens, options.max_length)
-        .transform(drop_min_chars, options.min_length)
-    )
+    """All rules.  The pairwise tests run before the shuffle of the distinct step:
+    duplicates share the verdict, so the result is the same and the shuffle carries
+    survivors only.  There is no second distinct after cleaning."""
     return (
-        survivors.transform(distinct_pairs, scope)
-        .transform(_normalise, options)
+        df.transform(pairwise_rules, options)
+        .transform(distinct_pairs, scope)
+        .transform(normalise, options)
         .transform(drop_blank)
     )
 

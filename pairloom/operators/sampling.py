@@ -74,22 +74,22 @@ def row_cap(df: DataFrame, cap: int) -> DataFrame:
     if cap <= 0:
         return df.where(F.lit(False))
     ids = df.select("pair_id")
-    cut = _edge(ids.select(F.shiftright("pair_id", 40).alias("bin")), F.lit(cap).cast("bigint"))
+    edge = _edge(ids.select(F.shiftright("pair_id", 40).alias("bin")), F.lit(cap).cast("bigint"))
     for shift in (20, 0):
-        inside = ids.where(F.shiftright("pair_id", shift + 20) == cut.select("bin").scalar())
-        cut = _edge(inside.select(F.shiftright("pair_id", shift).alias("bin")), cut.select("need").scalar())
-    last = cut.select("bin").scalar()
+        inside = ids.where(F.shiftright("pair_id", shift + 20) == edge.getField("bin"))
+        edge = _edge(inside.select(F.shiftright("pair_id", shift).alias("bin")), edge.getField("need"))
     # Without an edge there are no more rows than the cap.
-    return df.where(F.col("pair_id") <= F.coalesce(last, F.lit((1 << 63) - 1)))
+    return df.where(F.col("pair_id") <= F.coalesce(edge.getField("bin"), F.lit((1 << 63) - 1)))
 
 
-def _edge(bins: DataFrame, wanted: Column) -> DataFrame:
-    """The bin in which the wanted-th row falls, and how many of its rows are wanted."""
+def _edge(bins: DataFrame, wanted: Column) -> Column:
+    """struct(bin, need): the bin in which the wanted-th row falls, and how many of its rows
+    are wanted.  A scalar subquery, so both fields come from one run of it."""
     histogram = bins.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     # A window over bin counts: at most 2**20 small rows.
     order = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n").over(order), F.lit(0))
     counted = histogram.withColumn("before", before).withColumn("wanted", wanted)
-    return counted.where(
-        (F.col("before") < F.col("wanted")) & (F.col("before") + F.col("n") >= F.col("wanted"))
-    ).select("bin", (F.col("wanted") - F.col("before")).alias("need"))
+    found = (F.col("before") < F.col("wanted")) & (F.col("before") + F.col("n") >= F.col("wanted"))
+    need = (F.col("wanted") - F.col("before")).alias("need")
+    return counted.where(found).select(F.struct("bin", need)).scalar()

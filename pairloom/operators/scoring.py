@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.model import columns_except
+from pairloom.operators.joins import lookup_join
 
 ScoreTable = DataFrame
 BatchScorer = Callable[..., pd.Series]
@@ -33,7 +34,11 @@ def attach_score(
     """
     if isinstance(scorer, DataFrame):
         (column,) = columns_except(scorer, on)
-        return df.join(scorer.select(on, F.col(column).alias(name)), on, "left")
+        if on == "pair_id":
+            return df.join(scorer.select(on, F.col(column).alias(name)), on, "left")
+        # Many pairs may share one key (a document, a text): no task gets them all.
+        scores = scorer.select(F.col(on).alias("score_key"), F.col(column).alias(name))
+        return lookup_join(df, scores, on, "score_key", "left")
     if isinstance(scorer, Column):
         return df.withColumn(name, scorer)
     return df.withColumn(name, F.pandas_udf(scorer, returns)(*inputs))

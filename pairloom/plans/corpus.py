@@ -77,8 +77,12 @@ def process_datasets(
     if todo:
         pairs = read_catalog(spark, entries, output.src_lang, output.tgt_lang, skip=done)
         # Scored once, written to the shared folder; output, counts and quality read that.
-        flagged = cut_lineage(flag_stages(pairs, stages, rules), output.checkpoint_dir)
-        kept = flagged.where(F.col("passed") == len(stages)).drop("passed")
+        # Of rows that were lost only the dataset and the stage are kept.
+        survives = F.col("passed") == len(stages)
+        flagged = flag_stages(pairs, stages, rules)
+        flagged = flagged.withColumns({c: F.when(survives, F.col(c)) for c in ("src", "tgt")})
+        flagged = cut_lineage(flagged, output.checkpoint_dir)
+        kept = flagged.where(survives).drop("passed")
         if output.save_format == "parquet":
             files.write_pairs(kept, output.pairs, output.src_lang, output.tgt_lang)
         else:
