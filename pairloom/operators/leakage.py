@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions.text import word_set
 from pairloom.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
@@ -41,29 +41,19 @@ def drop_leaked(
 # token with.  Every meeting is then decided on the whole token sets.
 
 
-def near_match_index(test: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(side, token, test_id, test_n) to find test texts by, and (test_id, test_tokens).
-
-    test_id is a hash: texts that should share one are all compared, so nothing is missed.
-    """
-    tokens = test.select("side", "text", word_set("text").alias("tokens")).where(F.size("tokens") > 0)
-    sets = tokens.select(
-        "side", F.xxhash64("text").alias("test_id"), F.col("tokens").alias("test_tokens"),
-        F.size("tokens").alias("test_n"),
-    )
-    single = sets.select("side", "test_id", "test_n", F.explode("test_tokens").alias("token"))
-    frequency = single.groupBy("side", "token").agg(F.count(F.lit(1)).alias("df"))
+def indexed_test_texts(test: DataFrame, threshold: float) -> DataFrame:
+    """(side, text, test_n, test_tokens, index_tokens): the words to find a test text by."""
+    words = test.select("side", "text", F.explode(word_set("text")).alias("token"))
+    frequency = words.groupBy("side", "token").agg(F.count(F.lit(1)).alias("df"))
     # Rare first; among equally rare ones the longer word is the likelier to be rare elsewhere.
     order = F.struct("df", (-F.length("token")).alias("shortness"), "token")
-    ranked = single.join(frequency, ["side", "token"]).groupBy("side", "test_id", "test_n").agg(
+    ranked = words.join(frequency, ["side", "token"]).groupBy("side", "text").agg(
         F.array_sort(F.collect_list(order)).alias("ranked")
     )
     needed = F.ceil(F.col("test_n") * F.lit(threshold) - F.lit(1e-9)).cast("int")
-    prefix = F.slice("ranked", F.lit(1), F.greatest(F.size("ranked") - needed + 1, F.lit(0)))
-    index = ranked.select("side", "test_id", "test_n", F.explode(prefix).alias("r")).select(
-        "side", F.col("r.token").alias("token"), "test_id", "test_n"
-    )
-    return index, sets.select("test_id", "test_tokens")
+    count = F.greatest(F.col("test_n") - needed + 1, F.lit(0))
+    tokens = ranked.select("side", "text", F.size("ranked").alias("test_n"), F.col("ranked.token").alias("test_tokens"))
+    return tokens.withColumn("index_tokens", F.slice("test_tokens", F.lit(1), count))
 
 
 def near_matches(
@@ -74,29 +64,49 @@ def near_matches(
     Both sides go through one scan: tokens are looked up in the index, and with a test set
     of broadcast size no row is shuffled before it is known to be a hit.
     """
-    index, sets = near_match_index(test, threshold)
-    small = fits_broadcast(index, limit) and fits_broadcast(sets, limit)
+    indexed = indexed_test_texts(test, threshold)
     sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("text")) for s in ("src", "tgt")])
     texts = pairs.select("pair_id", F.inline(sides)).select("pair_id", "side", word_set("text").alias("tokens"))
     # The outer form spares the optimizer's own emptiness filter, which would split twice.
-    words = texts.select("pair_id", "side", "tokens", F.size("tokens").alias("n"), F.explode_outer("tokens").alias("token"))
-    n, test_n = F.col("n"), F.col("test_n")
-    # Sets of too different sizes cannot be similar enough.
-    close = (n >= test_n * F.lit(threshold)) & (test_n >= n * F.lit(threshold))
-    if small:
-        met = words.join(F.broadcast(index), ["side", "token"]).where(close)
-        judged = met.join(F.broadcast(sets), "test_id")
+    words = texts.select("pair_id", "side", "tokens", F.explode_outer("tokens").alias("token"))
+    entry = F.struct("test_n", "test_tokens")
+    filed = indexed.select("side", F.explode("index_tokens").alias("token"), entry.alias("entry"))
+
+    def similar(tokens: Column, test_n: Column, test_tokens: Column) -> Column:
+        n = F.size(tokens)
+        # Sets of too different sizes cannot be similar enough.
+        close = (n >= test_n * F.lit(threshold)) & (test_n >= n * F.lit(threshold))
+        shared = F.array(F.size(F.array_intersect(tokens, test_tokens)))
+        # "exists" names the size of the intersection, so that it is computed once.
+        return close & F.exists(shared, lambda s: s / (n + test_n - s) > F.lit(threshold))
+
+    if fits_broadcast(filed, limit):
+        # All test texts filed under a word come with it as one list, bounded like the whole
+        # index.  The first match ends the search, and no pair is emitted per test text.
+        lists = filed.groupBy("side", "token").agg(
+            F.collect_list("entry").alias("entries"),
+            F.min("entry.test_n").alias("least"),
+            F.max("entry.test_n").alias("most"),
+        )
+        n = F.size("tokens")
+        # A list in which every text is too short or too long is passed by unopened.
+        near = (n >= F.col("least") * F.lit(threshold)) & (F.col("most") >= n * F.lit(threshold))
+        met = words.join(F.broadcast(lists), ["side", "token"]).where(near)
+        hits = met.where(
+            F.exists("entries", lambda e: similar(F.col("tokens"), e.getField("test_n"), e.getField("test_tokens")))
+        )
     else:
         # Single words are shuffled, not whole texts; a frequent word's partition is split
         # by adaptive execution.  The sets are fetched for the candidates only.
-        met = words.drop("tokens").join(index, ["side", "token"]).where(close)
-        candidates = met.select("pair_id", "side", "n", "test_id").distinct()
-        judged = candidates.join(texts, ["pair_id", "side"]).join(sets, "test_id")
-    shared = F.array(F.size(F.array_intersect("tokens", "test_tokens")))
-    both = n + F.size("test_tokens")
-    # "exists" names the size of the intersection, so that it is computed once.
-    similar = F.exists(shared, lambda s: s / (both - s) > F.lit(threshold))
-    return judged.where(similar).select("pair_id").distinct()
+        # test_id is a hash: texts that should share one are all compared.
+        named = indexed.withColumn("test_id", F.xxhash64("text"))
+        index = named.select("side", "test_id", F.explode("index_tokens").alias("token"))
+        sets = named.select("side", "test_id", "test_tokens")
+        met = words.drop("tokens").join(index, ["side", "token"])
+        candidates = met.select("pair_id", "side", "test_id").distinct()
+        judged = candidates.join(texts, ["pair_id", "side"]).join(sets, ["side", "test_id"])
+        hits = judged.where(similar(F.col("tokens"), F.size("test_tokens"), F.col("test_tokens")))
+    return hits.select("pair_id").distinct()
 
 
 def drop_near_leaked(
