@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import sql
 from checks.registry import query
-from checks.views import aligned_sides, pairs, pairs_wide, table
+from checks.views import aligned_sides, pairs, table
 from pairloom.functions.text import newline_to_space
 from pairloom.operators.dedup import deduplicate
 from pairloom.operators.rules import rule_filter

@@ -3,7 +3,6 @@ from __future__ import annotations
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import ids, texts
 from pairloom.operators import dedup, leakage

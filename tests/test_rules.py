@@ -4,7 +4,6 @@ import random
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import ids, texts
 from pairloom.functions import text
@@ -24,7 +23,7 @@ def test_token_count(spark, value, count):
 
 
 @pytest.mark.parametrize("value", [
-    "a<b>c", "a<b\nc>d", "a<b\rc>d", "a<b c>d", "&lt;i&gt;t", "R&amp;D", "amp;z", "{}q", "&&quot;",
+    "a<b>c", "a<b\nc>d", "a<b\rc>d", "a<b\x85c>d", "a<b\u2028c>d", "&lt;i&gt;t", "R&amp;D", "amp;z", "{}q", "&&quot;",
     "plain", "a;b", "{x}", "a < b > c", "<<a>>", "nbsp;nbsp;", "&lt; &gt", "",
 ])
 def test_clean_markup_like_a_regex(spark, value):
@@ -38,7 +37,7 @@ def test_collapse_is_one_pass(spark, value):
 
 
 @pytest.mark.parametrize("value", [
-    " ", "\t", "\xa0", "　", " ", "\x1c", "\x85", "​", "", "\n\n", " a ", "a", "   ",
+    " ", "\t", "\xa0", "\u3000", "\u2003", "\u2028\u3000", "\u205fx\u1680", "\x1c", "\x85", "\u200b", "", "\n\n", " a ", "a", "\u2029 \u205f",
 ])
 def test_blank_and_strip_like_python(spark, value):
     assert one_value(spark, text.is_blank("x"), value) == bool(re.match(r"^\s*$", value))
@@ -83,7 +82,7 @@ def reference_filter(rows, options):
 ])
 def test_rule_filter_against_brute_force(pairs_of, options):
     rng = random.Random(7)
-    words = ["Ab", "c", "<b>", "&amp;", "{}", "　", "ÄÖ", " ", "lang", None]
+    words = ["Ab", "c", "<b>", "&amp;", "{}", "\u3000", "ÄÖ", " ", "lang", None]
     def sentence():
         picked = [rng.choice(words) for _ in range(rng.randint(0, 5))]
         return None if None in picked else " ".join(picked)
