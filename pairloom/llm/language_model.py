@@ -29,12 +29,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.llm.shared import stored
+from pairloom.llm.shared import stored_by_key
 from pairloom.llm.words import gram_hashes, word_hashes
 
 ORDER, MIN_COUNT, BACKOFF = 3, 2, 0.4
 BLOCK_WORDS = 2_000_000
-BUCKET_GRAMS = 4_000_000  # n-grams asked for in one bucket
+BUCKET_GRAMS = 2_000_000  # n-grams asked for in one bucket
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -125,7 +125,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     ``n_backed_off`` counts the words whose longest available n-gram was too rare.
     """
-    blocks = stored(_blocks(docs, doc_id, text, block_words).withColumn("block_no", F.monotonically_increasing_id()))
+    # Laid out by block_no, so that the answers come to the blocks and no block is shuffled.
+    blocks = stored_by_key(_blocks(docs, doc_id, text, block_words).withColumn(
+        "block_no", F.monotonically_increasing_id()), "block_no")
     total = blocks.agg(F.sum("words")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_GRAMS))
 

@@ -55,6 +55,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_by_key(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written once to shared storage in buckets of ``key``: a later join on ``key`` reads
+    them where they lie, without shuffling this side."""
+    spark = df.sparkSession
+    path = shared_folder(spark)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    name = f"pairloom_{path.rpartition('/')[2]}"
+    df.write.option("path", f"{path}/table").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return spark.table(name)
+
+
 def text_key(text: Column) -> Column:
     """Equal for equal texts (null counts as empty), 128 bits and the length."""
     text = F.coalesce(text, F.lit(""))
