@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe, decontaminate, fingerprints, language_model, near_duplicates, quality, secrets, url_filter, warc
+from pairloom.llm import bpe, decontaminate, fingerprints, language_model, near_duplicates, quality, repeats, secrets, url_filter, warc
 from pairloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,11 @@ def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return language_model.score_documents(docs).select(
         "doc_id", "n_words", "n_backed_off", F.round("log10_score", 4).alias("log10_score"))
+
+
+@query
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -246,6 +246,62 @@ def test_quality_of_hard_texts(spark, hard_dir):
     assert len(got) == len(docs_of(hard_dir)) and all(0 <= r["score"] <= 1 for r in got)
 
 
+# 7
+
+def plain_removal(texts, depth):
+    count = Counter(t[i:i + depth] for t in texts for i in range(len(t) - depth + 1))
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t) + 1, bool)
+        for i in range(len(t) - depth + 1):
+            if count[t[i:i + depth]] > 1:
+                gone[i:i + depth] = True
+        runs = int((gone[:-1] & ~np.append(False, gone[:-2])).sum()) if len(t) else 0
+        kept = bytes(b for b, g in zip(t, gone, strict=False) if not g)
+        out.append((len(t), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_repeats(spark, sf_dir):
+    docs = docs_of(sf_dir)
+    want = Counter((i, *r) for (i, _), r in zip(docs, plain_removal([(t or "").encode() for _, t in docs], 200), strict=True))
+    names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert Counter(tuple(r[k] for k in names) for r in result(spark, "op7_repeats", sf_dir)) == want
+
+
+def test_repeats_at_small_depth(spark, monkeypatch):
+    from pairloom.llm import repeats
+    monkeypatch.setattr(repeats, "PIECE", 50)
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 500)
+    rnd = random.Random(9)
+    base = "".join(rnd.choices("abcd é", k=200))
+    texts = [base[(s := rnd.randrange(150)):s + rnd.randint(1, 90)] + "".join(rnd.choices("abc", k=rnd.randint(0, 40))) for _ in range(40)]
+    texts += ["a" * 70, "", texts[0], "é" * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest())
+           for r in repeats.remove_repeats(df, depth=20, gram=6).collect()}
+    assert [got[i] for i in range(len(texts))] == plain_removal([t.encode() for t in texts], 20)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_suffix_sort(monkeypatch, small):
+    from pairloom.llm import suffix_sort
+    if small:
+        for name, value in (("CHUNK", 5), ("QUEUE_BYTES", 100), ("SORT_ROWS", 4)):
+            monkeypatch.setattr(suffix_sort, name, value)
+    rnd = random.Random(5)
+    for _ in range(250):
+        letters, depth = rnd.choice([b"ab", b"abc", b"abcdefgh", bytes(range(256))]), rnd.choice([2, 3, 5, 8, 13])
+        base = bytes(rnd.choices(letters, k=60))
+        shard = []
+        for _ in range(rnd.randint(1, 8)):
+            s = rnd.randrange(50)
+            shard.append(rnd.choice([base[s:s + rnd.randint(1, 40)], base[:1] * rnd.randint(1, 30), bytes(rnd.choices(letters, k=rnd.randint(0, 30)))]))
+        count = Counter(r[i:i + depth] for r in shard for i in range(len(r) - depth + 1))
+        want = [[i for i in range(len(r) - depth + 1) if count[r[i:i + depth]] > 1] for r in shard]
+        assert [x.tolist() for x in suffix_sort.repeated_starts(shard, depth)] == want
+
+
 # 8
 
 @pytest.fixture(scope="module")
