@@ -239,11 +239,17 @@ def _encoder(vocabulary):
     def encode(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = _loaded(vocabulary.value)
         for batch in texts:
-            yield pa.array([packed(encode_chunk(bpe, t.as_py() or "")) for t in batch], pa.binary())
+            yield by_slices(batch, pa.binary(), lambda t: packed(encode_chunk(bpe, t or "")))
 
     return encode
 
 
+def by_slices(batch: pa.Array, kind: pa.DataType, each) -> pa.Array:
+    """``each`` of every value; few results at a time are Python objects, the rest is in Arrow buffers."""
+    done = [pa.array([each(v.as_py()) for v in batch.slice(at, 200)], kind) for at in range(0, len(batch), 200)]
+    return pa.concat_arrays(done) if done else pa.array([], kind)
+
+
 def encode_long(docs: DataFrame, text: str, vocabulary, out: str, size: int = CHUNK) -> DataFrame:
     """Long texts: one row per chunk, encoded anywhere, put together in order per document."""
     @F.arrow_udf("array<struct<chunk: string, free: boolean>>")
@@ -322,6 +328,6 @@ def decode_ids(encoded: DataFrame, ids: str, vocabulary_path: str, out: str = "d
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = _loaded(vocabulary.value)
         for batch in batches:
-            yield pa.array([bpe.decode(np.frombuffer(b.as_py() or b"", "<u4").tolist()) for b in batch], pa.string())
+            yield by_slices(batch, pa.string(), lambda b: bpe.decode(np.frombuffer(b or b"", "<u4").tolist()))
 
     return encoded.withColumn(out, decode(F.col(f"`{ids}`")))

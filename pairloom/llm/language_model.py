@@ -33,7 +33,7 @@ from pairloom.llm.shared import stored_by_key
 from pairloom.llm.words import gram_hashes, word_hashes
 
 ORDER, MIN_COUNT, BACKOFF = 3, 2, 0.4
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_500_000
 BUCKET_GRAMS = 2_000_000  # n-grams asked for in one bucket
 
 
