@@ -65,7 +65,7 @@ def _twice(grams: np.ndarray, anchors: np.ndarray, first: np.ndarray, last: np.n
     return out
 
 
-def regions(data: bytes, depth: int = DEPTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+def regions(data: bytes, depth: int = DEPTH, gram: int = GRAM, check_twice: bool = True) -> tuple[np.ndarray, ...]:
     """First start, last start, anchor, content hash and "the anchor stands twice" of every region of a text."""
     parts = []
     for at in range(0, max(0, len(data) - depth + 1), PIECE):
@@ -79,7 +79,7 @@ def regions(data: bytes, depth: int = DEPTH, gram: int = GRAM) -> tuple[np.ndarr
         edges = 1 + np.flatnonzero(anchors[1:] != anchors[:-1])
         first, last = np.append(0, edges), np.append(edges - 1, len(anchors) - 1)
         content = words.mix((prefix[last + depth] - prefix[first]) * inverse[first] + (last - first).astype(np.uint64))
-        twice = _twice(grams, anchors, first, last, depth - gram + 1)
+        twice = (_twice(grams, anchors, first, last, depth - gram + 1) if check_twice else np.zeros(len(first), np.bool_))
         parts.append((first + at, last + at, anchors[first], content, twice))
     if not parts:
         return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.bool_))
@@ -119,28 +119,25 @@ def repeated_spans(docs: DataFrame, doc_id: str, text: str, depth: int = DEPTH,
 
     def find(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
+            rows, size = [], 0
             for number, value in zip(*batch.columns, strict=True):
                 first, last, anchor, content, twice = regions(value.as_py(), depth, gram)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(first), number.as_py(), np.int64)), pa.array(np.arange(len(first), dtype=np.int32)),
-                    pa.array(first), pa.array(last), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(twice)],
-                    ["doc_no", "place", "first", "last", "anchor", "content", "twice"])
-
-    def whole_batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, size = [], 0
-        for batch in find(parts):
-            waiting.append(batch)
-            size += batch.num_rows
-            if size > 20_000:
-                yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
-                waiting, size = [], 0
-        if waiting:
-            yield from pa.Table.from_batches(waiting).combine_chunks().to_batches()
+                rows.append((np.full(len(first), number.as_py(), np.int64), np.arange(len(first), dtype=np.int32), first, last,
+                             anchor.view(np.int64), content.view(np.int64), twice))
+                size += len(first)
+                if size > 100_000:
+                    yield as_batch(rows, ["doc_no", "place", "first", "last", "anchor", "content", "twice"])
+                    rows, size = [], 0
+            if rows:
+                yield as_batch(rows, ["doc_no", "place", "first", "last", "anchor", "content", "twice"])
+
+    def as_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)], names)
 
     # A place is a document and a region of it; repeated rows give the same place again.
     at = F.xxhash64("doc_no", "place").alias("at")
     found = stored(once.select("doc_no", "bytes").mapInArrow(
-        whole_batches, "doc_no bigint, place int, first bigint, last bigint, anchor bigint, content bigint, twice boolean"))
+        find, "doc_no bigint, place int, first bigint, last bigint, anchor bigint, content bigint, twice boolean"))
     contents = found.select("anchor", "content", "twice", at).groupBy("anchor", "content").agg(
         F.min("at").alias("one"), (F.min("at") != F.max("at")).alias("again"), F.max("twice").alias("twice"))
     anchors = contents.groupBy("anchor").agg(
@@ -160,19 +157,25 @@ def repeated_spans(docs: DataFrame, doc_id: str, text: str, depth: int = DEPTH,
     carried = lookup_join(once.select("text_key", "bytes"), by_text, "text_key", "text_key", "inner")
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["anchor", "doc_no", "first", "again"]
         for batch in parts:
-            for row in batch.to_pylist():
-                first, last, anchor, _, _ = regions(row["bytes"], depth, gram)
-                places = np.array(row["places"], np.int64)
+            rows, texts, size = [], [], 0
+            for number, data, listed in zip(*batch.columns, strict=True):
+                data, places = data.as_py(), np.array(listed.as_py(), np.int64)
+                first, last, anchor, _, _ = regions(data, depth, gram, check_twice=False)
                 again, places = places < 0, np.where(places < 0, -1 - places, places)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(anchor[places].view(np.int64)), pa.array(np.full(len(places), row["doc_no"], np.int64)),
-                    pa.array(first[places]), pa.array(again),
-                    pa.array([row["bytes"][a:b + depth] for a, b in zip(first[places], last[places], strict=True)], pa.binary())],
-                    ["anchor", "doc_no", "first", "again", "region"])
-
-    cut_regions = carried.select("bytes", "doc_no", "places").mapInArrow(
-        cut, "anchor bigint, doc_no bigint, first bigint, again boolean, region binary").dropDuplicates(["doc_no", "first"])
+                rows.append((anchor[places].view(np.int64), np.full(len(places), number.as_py(), np.int64), first[places], again))
+                own = [data[a:b + depth] for a, b in zip(first[places].tolist(), last[places].tolist(), strict=True)]
+                texts += own
+                size += sum(map(len, own))
+                if size > 4 << 20:
+                    yield as_batch(rows, names).append_column("region", pa.array(texts, pa.binary()))
+                    rows, texts, size = [], [], 0
+            if rows:
+                yield as_batch(rows, names).append_column("region", pa.array(texts, pa.binary()))
+
+    cut_regions = carried.select("doc_no", "bytes", "places").mapInArrow(
+        cut, "anchor bigint, doc_no bigint, first bigint, again boolean, region binary")
 
     def sort(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = list(parts)
@@ -180,6 +183,10 @@ def repeated_spans(docs: DataFrame, doc_id: str, text: str, depth: int = DEPTH,
             return
         columns = pa.Table.from_batches(batches)
         del batches
+        numbers, firsts = (columns.column(c).to_numpy() for c in ("doc_no", "first"))
+        # A row that repeats id and text has been cut twice; each place counts once.
+        once_each = np.unique(np.stack([numbers, firsts]), axis=1, return_index=True)[1]
+        columns = columns.take(once_each)
         starts = repeated_starts([r.as_py() for r in columns.column("region")], depth)
         rows = ([], [], [])
         for number, first, again, hits in zip(

@@ -148,6 +148,9 @@ class Shard:
                 inside = live[length[live] > k]
                 word[inside] |= symbol[at[inside] + k] << np.uint64(10 * (5 - (k - first)))
             word, words = ranks(word, self.folder)
+            if not first:
+                name, count = word, words
+                continue
             name, count = ranks(name.astype(np.uint64) * np.uint64(words) + word.astype(np.uint64), self.folder)
         step = 1
         reach = np.append(at, [self.n])
@@ -240,9 +243,9 @@ class Induction:
         if not len(k):
             return
         before = positions[k] - 1
-        symbol = text[before].astype(np.int64)
-        order = np.argsort(symbol, kind="stable")
-        k, before, symbol = k[order], before[order], symbol[order]
+        symbol = text[before]
+        order = np.argsort(symbol, kind="stable")  # a radix sort for 16-bit symbols
+        k, before, symbol = k[order], before[order], symbol[order].astype(np.int64)
         heads = np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1]))
         low = np.empty(len(k), np.int64)
         low[1:] = _range_min(prefix, k[:-1] + 1, k[1:] + 1)
