@@ -18,7 +18,7 @@ from pairloom.llm import bpe, decontaminate, fingerprints, near_duplicates, qual
 from pairloom.llm.queries import ORACLES, QUERIES
 from pairloom.llm.words import word_hashes
 
-from llm_cases import SF, docs_of, sha
+from llm.llm_cases import SF, docs_of, sha
 
 
 def result(spark, name, sf_dir):
