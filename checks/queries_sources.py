@@ -38,8 +38,8 @@ def staging_folder(spark: SparkSession) -> str:
 @query("src_aligned_lines", f"""
 WITH {sql.LINES},
 l AS (SELECT doc_id, unnest(range(len(lns))) AS position, unnest(lns) AS line FROM docl)
-SELECT a.doc_id AS dataset, a.position, a.line AS src, b.line AS tgt
-FROM l a JOIN l b ON b.doc_id = a.doc_id + 1 AND b.position = a.position""")
+SELECT coalesce(a.doc_id, b.doc_id - 1) AS dataset, coalesce(a.position, b.position) AS position, a.line AS src, b.line AS tgt
+FROM l a FULL JOIN l b ON b.doc_id = a.doc_id + 1 AND b.position = a.position""")
 def src_aligned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, tgt = aligned_sides(spark, sf_dir)
     return alignment.zip_sides(src, tgt, ("dataset",))
@@ -144,7 +144,8 @@ TURNS = "turns AS (SELECT text, row_number() OVER (ORDER BY conv_id, turn) - 1 A
 
 @query("src_dual_config", f"""
 WITH {TURNS}
-SELECT d.doc_id AS position, d.text AS src, t.text AS tgt FROM documents d JOIN turns t ON t.position = d.doc_id""")
+SELECT coalesce(d.doc_id, t.position) AS position, d.text AS src, t.text AS tgt
+FROM documents d FULL JOIN turns t ON t.position = d.doc_id""")
 def src_dual_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = f"{sf_dir}/documents.parquet", f"{sf_dir}/conversations.parquet"
     return tables.read_dual(spark, *paths, "text", strict=False)
@@ -165,7 +166,8 @@ WITH {TURNS},
 items AS (SELECT text, row_number() OVER (ORDER BY item_id) - 1 AS position FROM benchmark)
 SELECT doc_id AS pair_id, 'docs' AS dataset, lang AS src, text AS tgt FROM documents
 UNION ALL SELECT (1::BIGINT << 40) + page_id, 'pages', url, html FROM pages
-UNION ALL SELECT (2::BIGINT << 40) + d.doc_id, 'dual', d.text, t.text FROM documents d JOIN turns t ON t.position = d.doc_id
+UNION ALL SELECT (2::BIGINT << 40) + coalesce(d.doc_id, t.position), 'dual', d.text, t.text
+  FROM documents d FULL JOIN turns t ON t.position = d.doc_id
 UNION ALL SELECT (3::BIGINT << 40) + position, 'splits', text, text FROM items
 UNION ALL SELECT (3::BIGINT << 40) + (1::BIGINT << 34) + position, 'splits', text, text FROM turns
 UNION ALL SELECT (4::BIGINT << 40) + doc_id, 'docs-4', source, text FROM documents WHERE lang = 'de'""")
@@ -210,7 +212,7 @@ SELECT row_number() OVER (ORDER BY dataset, pair_id) - 1 AS position,
 def sink_aligned_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = staging_folder(spark) + "/text"
     files.write_aligned_text(pairs(spark, sf_dir), folder, "en", "am")
-    return lines.read_aligned_lines(spark, f"{folder}/lang=en", f"{folder}/lang=am")
+    return lines.read_aligned_lines(spark, f"{folder}/lang_pair=en-am/lang=en", f"{folder}/lang_pair=en-am/lang=am")
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,10 +19,20 @@ PAIR_SCHEMA = T.StructType(
 )
 
 POSITION_BITS = 40
+SPLIT_BITS = 34
+
+
+def below(number: Column, bits: int, what: str) -> Column:
+    """``number``, or an error where it needs more than ``bits`` bits: an id never repeats in silence."""
+    number = number.cast("bigint")
+    failed = F.raise_error(F.concat(F.lit(f"too many {what} for ids of {bits} bits: "), number.cast("string"))).cast("bigint")
+    return F.when(F.shiftrightunsigned(number, bits) != 0, failed).otherwise(number)
 
 
 def global_id(dataset_rank: int, position: Column) -> Column:
-    return F.lit(dataset_rank << POSITION_BITS).cast("bigint") + position.cast("bigint")
+    if dataset_rank >= 1 << (63 - POSITION_BITS):
+        raise ValueError(f"more than {1 << (63 - POSITION_BITS)} datasets")
+    return F.lit(dataset_rank << POSITION_BITS).cast("bigint") + below(position, POSITION_BITS, "rows of a dataset")
 
 
 def as_pairs(df: DataFrame, dataset: str, dataset_rank: int) -> DataFrame:

@@ -18,7 +18,7 @@ def _row_bytes(df: DataFrame) -> Column:
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             size = F.octet_length(field.name)
-        elif isinstance(field.dataType, (T.ArrayType, T.StructType)):
+        elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
             size = F.octet_length(F.to_json(F.struct(field.name)))
         else:
             size = F.lit(8)

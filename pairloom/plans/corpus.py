@@ -40,6 +40,10 @@ class Output:
     def pairs(self) -> str:
         return f"{self.root}/pairs"
 
+    @property
+    def text(self) -> str:
+        return f"{self.root}/text"
+
     @property
     def manifest(self) -> str:
         return f"{self.root}/manifest"
@@ -50,7 +54,9 @@ def read_manifest(spark: SparkSession, output: Output) -> DataFrame:
     try:
         stored = files.read_metadata(spark, output.manifest)
         stored.limit(0).collect()
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         columns = ", ".join(f"{c} bigint" for c in COUNTS)
         return spark.createDataFrame(
             [], f"source string, dataset_name string, lang_pair string, {columns}, quality_score double, processed_at timestamp"
@@ -83,10 +89,11 @@ def process_datasets(
         flagged = flagged.withColumns({c: F.when(survives, F.col(c)) for c in ("src", "tgt")})
         flagged = cut_lineage(flagged, output.checkpoint_dir)
         kept = flagged.where(survives).drop("passed")
-        if output.save_format == "parquet":
-            files.write_pairs(kept, output.pairs, output.src_lang, output.tgt_lang)
-        else:
-            files.write_aligned_text(kept, output.pairs, output.src_lang, output.tgt_lang)
+        processed = [name for name, _ in todo]
+        # Merging reads Parquet; text files are written beside it.
+        files.write_pairs(kept, output.pairs, output.src_lang, output.tgt_lang, processed)
+        if output.save_format == "text":
+            files.write_aligned_text(kept, output.text, output.src_lang, output.tgt_lang, datasets=processed)
         funnel = stage_funnel(pairs, flagged, stages)
         if quality_table is None:
             summary = funnel.withColumn("quality_score", F.lit(None).cast("double"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairloom.functions.fixed_values import SUMMARY_HEADER
@@ -16,9 +18,23 @@ def check_format(save_format: str) -> None:
         raise ValueError(f"unknown output format {save_format!r}, expected one of {FORMATS}")
 
 
-def write_pairs(df: DataFrame, root: str, src_lang: str, tgt_lang: str) -> None:
+def _empty_partitions(spark: SparkSession, folders: Iterable[str]) -> None:
+    jvm = spark._jvm
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _without_rows(df: DataFrame, datasets: Sequence[str]) -> list[str]:
+    """Folder names of those ``datasets`` that have no row in ``df``: as many as the catalog has at most."""
+    present = {r.dataset for r in df.select("dataset").distinct().collect()} if datasets else set()
+    escape = df.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return [escape(d) for d in datasets if d not in present]
+
+
+def write_pairs(df: DataFrame, root: str, src_lang: str, tgt_lang: str, datasets: Sequence[str] = ()) -> None:
     """Parquet under root/lang_pair=../dataset=.., text columns named by language.  Only the
-    datasets present in ``df`` are replaced.
+    datasets present in ``df`` are replaced, and those of ``datasets`` that have no row are emptied.
 
     The rebalance step gathers a small dataset into few files and splits a huge one over
     many tasks.
@@ -27,11 +43,13 @@ def write_pairs(df: DataFrame, root: str, src_lang: str, tgt_lang: str) -> None:
     placed = named.withColumn("lang_pair", F.lit(f"{src_lang}-{tgt_lang}")).hint("rebalance", F.col("dataset"))
     writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("lang_pair", "dataset").parquet(root)
+    pair = f"{root}/lang_pair={src_lang}-{tgt_lang}"
+    _empty_partitions(df.sparkSession, [f"{pair}/dataset={d}" for d in _without_rows(df, datasets)])
 
 
 def read_pairs(spark: SparkSession, root: str, src_lang: str, tgt_lang: str) -> DataFrame:
-    """The pairs of one language pair; other partitions are not touched."""
-    stored = spark.read.parquet(root).where(F.col("lang_pair") == f"{src_lang}-{tgt_lang}")
+    """The pairs of one language pair, read from its own folder: each pair names its columns itself."""
+    stored = spark.read.parquet(f"{root}/lang_pair={src_lang}-{tgt_lang}")
     renamed = stored.withColumnsRenamed({src_lang: "src", tgt_lang: "tgt"})
     rest = columns_except(renamed, "pair_id", "dataset", "src", "tgt", "lang_pair")
     return renamed.select("pair_id", F.col("dataset").cast("string").alias("dataset"), "src", "tgt", *rest)
@@ -42,9 +60,10 @@ def one_line(text: Column | str) -> Column:
     return F.translate(text, "\r\n", "  ")
 
 
-def write_aligned_text(df: DataFrame, root: str, src_lang: str, tgt_lang: str, reject: bool = False) -> None:
-    """Text files under root/lang=<code>/dataset=<name>, line i of one side belonging to
-    line i of the other.
+def write_aligned_text(df: DataFrame, root: str, src_lang: str, tgt_lang: str, reject: bool = False,
+                       datasets: Sequence[str] = ()) -> None:
+    """Text files under root/lang_pair=<pair>/lang=<code>/dataset=<name>, line i of one side
+    belonging to line i of the other.  Datasets are replaced or emptied as in ``write_pairs``.
 
     One sort by (side, dataset, pair_id) and one write serve both sides.  The range
     partitions of the sort spread a large dataset over many files whose names follow the
@@ -63,7 +82,11 @@ def write_aligned_text(df: DataFrame, root: str, src_lang: str, tgt_lang: str, r
         F.struct(F.lit(tgt_lang).alias("lang"), line("tgt").alias("value")),
     )
     rows = df.select("dataset", "pair_id", F.inline(sides)).orderBy("lang", "dataset", "pair_id")
-    rows.select("lang", "dataset", "value").write.mode("overwrite").partitionBy("lang", "dataset").text(root)
+    placed = rows.select(F.lit(f"{src_lang}-{tgt_lang}").alias("lang_pair"), "lang", "dataset", "value")
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("lang_pair", "lang", "dataset").text(root)
+    pair, gone = f"{root}/lang_pair={src_lang}-{tgt_lang}", _without_rows(df, datasets)
+    _empty_partitions(df.sparkSession, [f"{pair}/lang={c}/dataset={d}" for c in (src_lang, tgt_lang) for d in gone])
 
 
 def write_metadata(metadata: DataFrame, path: str, mode: str = "append") -> None:

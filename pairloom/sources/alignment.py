@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 
 def zip_sides(src: DataFrame, tgt: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """(by..., position, src) with (by..., position, tgt): an equi-join on the position,
-    whose keys are unique and therefore spread evenly."""
-    return src.join(tgt, [*by, "position"])
+    whose keys are unique and therefore spread evenly.  A position that only one side has
+    comes with null for the other, so no row is lost."""
+    return src.join(tgt, [*by, "position"], "full")
 
 
 def alignment_report(src: DataFrame, tgt: DataFrame, by: str = "dataset") -> DataFrame:

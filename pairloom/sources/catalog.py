@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.model import as_pairs
+from pairloom.model import POSITION_BITS, SPLIT_BITS, as_pairs, below
 from pairloom.sources.lines import read_aligned_folder, read_aligned_lines
 from pairloom.sources.positions import numbered_rows
 from pairloom.sources.tables import read_dual, read_table, select_flat, select_nested, union_splits
@@ -91,7 +91,10 @@ def _read_hub_table(spark: SparkSession, entry: Entry) -> DataFrame:
         splits = {n: read(p) for n, p in entry.path.items() if n in names}
         rows = union_splits(splits, entry.split)
         # Splits follow one another: the rank goes above the row number.
-        rows = rows.withColumn("position", F.shiftleft(F.col("split_rank").cast("bigint"), 34) + F.col("position"))
+        if len(names) > 1 << (POSITION_BITS - SPLIT_BITS):
+            raise ValueError(f"{entry.name}: more than {1 << (POSITION_BITS - SPLIT_BITS)} splits")
+        within = below(F.col("position"), SPLIT_BITS, "rows of a split")
+        rows = rows.withColumn("position", F.shiftleft(F.col("split_rank").cast("bigint"), SPLIT_BITS) + within)
     if entry.format == "nested_translation":
         picked = select_nested(rows, entry.column, entry.src_key, entry.tgt_key)
     else:
@@ -105,7 +108,9 @@ def named_entries(entries: Sequence[Entry]) -> list[tuple[int, str, Entry]]:
     seen: set[str] = set()
     named = []
     for rank, entry in enumerate(entries):
-        name = entry.name if entry.name not in seen else f"{entry.name}-{rank}"
+        name = entry.name
+        while name in seen:
+            name = f"{name}-{rank}"
         seen.add(name)
         named.append((rank, name, entry))
     return named

@@ -13,7 +13,7 @@ def read_aligned_lines(
     spark: SparkSession, src_path: str, tgt_path: str, strict: bool = True
 ) -> DataFrame:
     """(position, src, tgt).  Empty lines stay as empty text.  ``strict`` counts both sides
-    first and fails when they differ; otherwise the longer side's rest is left out."""
+    first and fails when they differ; otherwise the longer side's rest comes with null beside it."""
     src = numbered_lines(spark, src_path).withColumnRenamed("line", "src")
     tgt = numbered_lines(spark, tgt_path).withColumnRenamed("line", "tgt")
     if strict:

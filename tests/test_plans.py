@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 from conftest import SF_DIR, ids, texts
 from checks.queries_plans import standard_stages
 from checks.views import pairs
+from pairloom.model import global_id
+from pairloom.operators.joins import measured_bytes
 from pairloom.operators.quality import train_quality
 from pairloom.plans import corpus, manifest, stages
 from pairloom.plans.stages import COUNTS, Stage
 from pairloom.sinks import files
-from pairloom.sources.catalog import Entry
+from pairloom.sources.catalog import Entry, named_entries
 from pairloom.sources.lines import read_aligned_lines
 
 
@@ -64,7 +66,7 @@ def test_aligned_text_round_trip(spark, pairs_of, tmp_path):
     root = str(tmp_path / "text")
     files.write_aligned_text(pairs_of(rows), root, "en", "am")
     for dataset in "xy":
-        back = read_aligned_lines(spark, f"{root}/lang=en/dataset={dataset}", f"{root}/lang=am/dataset={dataset}")
+        back = read_aligned_lines(spark, *[f"{root}/lang_pair=en-am/lang={c}/dataset={dataset}" for c in ("en", "am")])
         got = [(r.src, r.tgt) for r in back.orderBy("position").collect()]
         assert got == [(s.replace("\n", " "), t) for d, s, t in rows if d == dataset]
     with pytest.raises(Exception, match="line break"):
@@ -76,6 +78,7 @@ def test_pairs_round_trip_replaces_only_its_datasets(spark, pairs_of, tmp_path):
     files.write_pairs(pairs_of([("007", "a", "b"), ("y", "c", None)]), root, "en", "am")
     files.write_pairs(pairs_of([("y", "new", "row")]), root, "en", "am")
     files.write_pairs(pairs_of([("z", "other", "pair")]), root, "en", "fr")
+    assert [(r.dataset, r.src, r.tgt) for r in files.read_pairs(spark, root, "en", "fr").collect()] == [("z", "other", "pair")]
     back = files.read_pairs(spark, root, "en", "am")
     assert sorted((r.dataset, r.src, r.tgt) for r in back.collect()) == [("007", "a", "b"), ("y", "new", "row")]
 
@@ -114,3 +117,54 @@ def test_whole_run_with_cache_and_merge(spark, pairs_of, tmp_path):
     assert {r.dataset_name for r in meta.included_datasets} == {"first", "second"}
     only_second = corpus.merge_datasets(spark, out, excluded=["first"]).first()
     assert only_second.total_rows_before_dedup == 3
+
+
+@pytest.mark.parametrize("save_format", ["parquet", "text"])
+def test_runs_over_time(spark, tmp_path, save_format):
+    def table(name, rows):
+        path = str(tmp_path / name)
+        spark.createDataFrame(rows, "src string, tgt string").coalesce(1).write.mode("overwrite").parquet(path)
+        return Entry(name, path)
+
+    def kept(out):
+        rows = sorted((r.dataset, r.src) for r in files.read_pairs(spark, out.pairs, out.src_lang, out.tgt_lang).collect())
+        if save_format == "text":
+            folder = f"{out.text}/lang_pair={out.lang_pair}/lang={out.src_lang}"
+            assert sorted((r.dataset, r.value) for r in spark.read.text(folder).collect()) == rows
+        return rows
+
+    out = corpus.Output(str(tmp_path / "out"), "en", "am", save_format)
+    first, second = table("a", [("one two", "xx yyy"), ("three", "zzzz")]), table("b", [("four five", "uuu vvv")])
+    corpus.process_datasets(spark, [first], out, [])
+    assert kept(out) == [("a", "one two"), ("a", "three")]
+    corpus.process_datasets(spark, [first, second], out, [])
+    assert kept(out) == [("a", "one two"), ("a", "three"), ("b", "four five")]
+    # A second language pair under the same root changes nothing for the first.
+    other = corpus.Output(out.root, "en", "fr", save_format)
+    corpus.process_datasets(spark, [second], other, [])
+    assert kept(other) == [("b", "four five")] and len(kept(out)) == 3
+    assert corpus.merge_datasets(spark, out).first().total_rows_before_dedup == 3
+    # Processed again, the first dataset keeps nothing: neither rows nor counts stay behind.
+    nothing = table("a", [("same", "same")])
+    summary = {r.dataset: r for r in corpus.process_datasets(spark, [nothing, second], out, [], from_cache=False).collect()}
+    assert kept(out) == [("b", "four five")] and summary["a"].after_rule == 0
+    assert corpus.merge_datasets(spark, out).first().total_rows_before_dedup == 1
+
+
+def test_names_never_collide():
+    named = [name for _, name, _ in named_entries([Entry("x-2"), Entry("x"), Entry("x"), Entry("x")])]
+    assert named == ["x-2", "x", "x-2-2", "x-3"]
+
+
+def test_ids_that_overflow_are_errors(spark):
+    at = lambda p: spark.range(1).select(global_id(3, F.lit(p)).alias("i")).first().i
+    assert at((1 << 40) - 1) == (4 << 40) - 1 and at((1 << 34) + 5) == (3 << 40) + (1 << 34) + 5
+    with pytest.raises(Exception, match="too many rows"):
+        at(1 << 40)
+    with pytest.raises(ValueError, match="datasets"):
+        global_id(1 << 23, F.lit(0))
+
+
+def test_maps_are_measured(spark):
+    df = spark.createDataFrame([({"k": "v" * 100_000},)] * 10, "m map<string, string>")
+    assert measured_bytes(df) > 1_000_000

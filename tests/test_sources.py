@@ -48,7 +48,7 @@ def test_unequal_sides(spark, tmp_path):
     src, tgt = write(tmp_path / "s", "a\nb\nc\n"), write(tmp_path / "t", "x\ny")
     with pytest.raises(ValueError, match="3 source and 2 target"):
         lines.read_aligned_lines(spark, src, tgt)
-    assert texts(lines.read_aligned_lines(spark, src, tgt, strict=False)) == [("a", "x"), ("b", "y")]
+    assert texts(lines.read_aligned_lines(spark, src, tgt, strict=False)) == [("a", "x"), ("b", "y"), ("c", None)]
 
 
 def test_alignment_report(spark):
