@@ -82,16 +82,17 @@ def semantic_filter_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("encoder_route", f"""
-WITH {sql.PAIRS},
-coded AS (SELECT pair_id, lang AS src_lang, lower(substr(src, 1, 2 + (CASE WHEN tgt IS NULL THEN 1 ELSE 0 END))) AS tgt_lang FROM pw),
+WITH coded AS (SELECT a.doc_id AS pair_id, a.lang AS src_lang, coalesce(b.lang, a.source) AS tgt_lang
+               FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1),
 routed AS (SELECT *, {sql.encoder_case()} AS encoder FROM coded)
 SELECT *, CASE WHEN length(src_lang) > 2 OR length(tgt_lang) > 2 THEN 'code_too_long'
                WHEN encoder IS NULL THEN 'pair_not_supported' ELSE 'ok' END AS status FROM routed""")
 def encoder_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The first letters of a line serve as a language code: some known, some not.
-    letters = F.when(F.col("tgt").isNull(), F.substring("src", 1, 3)).otherwise(F.substring("src", 1, 2))
-    coded = pairs_wide(spark, sf_dir).select(
-        "pair_id", F.col("lang").alias("src_lang"), F.lower(letters).alias("tgt_lang")
+    # A document with the next one; the last has none, and its source is no language code.
+    docs = table(spark, sf_dir, "documents")
+    following = docs.select((F.col("doc_id") - 1).alias("pair_id"), F.col("lang").alias("next_lang"))
+    coded = docs.withColumnRenamed("doc_id", "pair_id").join(following, "pair_id", "left").select(
+        "pair_id", F.col("lang").alias("src_lang"), F.coalesce("next_lang", "source").alias("tgt_lang")
     )
     return semantic.route_encoders(coded)
 
