@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -30,6 +34,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)
 
 
+@functools.cache
+def _local_folder() -> str:
+    """The folder of a local session, which goes with it."""
+    folder = tempfile.mkdtemp(prefix="pairloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, which driver and executors all see.
 
@@ -37,10 +49,9 @@ def shared_folder(spark: SparkSession) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="pairloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base}/{uuid.uuid4().hex}"
 
 
