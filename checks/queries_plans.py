@@ -12,9 +12,12 @@ from checks.views import labelled_pairs, pairs, pairs_wide, table, test_keys
 from pairloom.operators import dedup, leakage, quality, sampling, semantic
 from pairloom.operators.language import Side
 from pairloom.operators.rules import rule_filter
-from pairloom.operators.tagging import tag_languages, union_corpora
+from pairloom.operators.tagging import tag_languages
+from pairloom.plans import corpus, merge, stages
 from pairloom.plans import manifest as manifests
-from pairloom.plans import merge, stages
+from pairloom.plans.sampled import Corpus, sample_and_tag
+from pairloom.session import staging_folder
+from pairloom.sources.catalog import Entry
 
 # --- stage chain --------------------------------------------------------------
 
@@ -239,24 +242,73 @@ def leakage_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {sql.MERGED},{sql.TEST_KEYS}
 SELECT {COLS} FROM by_tgt WHERE src NOT IN (SELECT k FROM test_keys) AND tgt NOT IN (SELECT k FROM test_keys)""")
 def merged_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.merge_corpus(complete(spark, sf_dir), test_keys(spark, sf_dir))
+    return merge.merge_corpus(complete(spark, sf_dir), test_keys(spark, sf_dir))[1]
 
 
 @query("merge_metadata", f"""
-WITH {sql.MERGED},{sql.TEST_KEYS},{FINISHED},
-inc AS (SELECT dataset AS dataset_name, count(*) AS rows FROM full_pairs GROUP BY dataset)
-SELECT inc.dataset_name, rows, quality_score, (SELECT count(*) FROM full_pairs) AS total_rows_before_dedup,
+WITH {sql.PAIRS},{sql.TEST_KEYS},{FINISHED},
+listed AS (SELECT * FROM full_pairs WHERE dataset IN (SELECT dataset_name FROM finished WHERE NOT excluded)),
+{sql.deduplicated('listed')},
+inc AS (SELECT dataset AS dataset_name, count(*) AS rows FROM listed GROUP BY dataset)
+SELECT inc.dataset_name, rows, quality_score, (SELECT count(*) FROM listed) AS total_rows_before_dedup,
        (SELECT count(*) FROM by_tgt) AS total_rows_after_dedup,
-       (SELECT count(*) FROM by_tgt WHERE src NOT IN (SELECT k FROM test_keys) AND tgt NOT IN (SELECT k FROM test_keys)) AS rows_after_leakage
+       (SELECT count(*) FROM by_tgt WHERE src NOT IN (SELECT k FROM test_keys) AND tgt NOT IN (SELECT k FROM test_keys)) AS rows_after_leakage,
+       TIMESTAMP '2025-01-01 00:00:00' AS processed_at
 FROM inc LEFT JOIN finished USING (dataset_name)""")
 def merge_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    all_pairs = complete(spark, sf_dir)
-    deduplicated = dedup.deduplicate(all_pairs)
-    final = leakage.drop_leaked(deduplicated, test_keys(spark, sf_dir))
-    included = merge.included_datasets(all_pairs, finished(spark, sf_dir))
-    one = merge.merge_metadata(included, "en-am", deduplicated, final)
+    """Over the finished datasets that are not set aside, as the merge takes them."""
+    manifest = finished(spark, sf_dir)
+    listed = merge.finished_pairs(complete(spark, sf_dir), manifest)
+    deduplicated, final = merge.merge_corpus(listed, test_keys(spark, sf_dir))
+    at = F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")
+    one = merge.merge_metadata(merge.included_datasets(listed, manifest), "en-am", deduplicated, final, at)
     totals = [c for c in one.columns if "rows" in c]
-    return one.select(F.inline("included_datasets"), *totals)
+    return one.select(F.inline("included_datasets"), *totals, "processed_at")
+
+
+# --- whole runs ---------------------------------------------------------------
+
+RUN_PAIRS = f"""{sql.PAIRS},{sql.ruled('dataset,')},{sql.TEST_KEYS}"""
+
+
+def _two_runs(spark: SparkSession, sf_dir: str, save_format: str) -> corpus.Output:
+    """Every source as a dataset of its own: the first half of them processed, then all."""
+    root = staging_folder(spark)
+    # Ranges of (dataset, pair_id): the files of a dataset follow the order of its rows.
+    placed = pairs(spark, sf_dir).repartitionByRange("dataset", "pair_id").sortWithinPartitions("dataset", "pair_id")
+    placed.write.partitionBy("dataset").parquet(f"{root}/sources")
+    names = [r.source for r in table(spark, sf_dir, "documents").select("source").distinct().orderBy("source").collect()]
+    entries = [Entry(name, f"{root}/sources/dataset={name}") for name in names]
+    output = corpus.Output(f"{root}/out", "en", "am", save_format)
+    for known in (entries[: len(entries) // 2], entries):
+        if known:
+            corpus.process_datasets(spark, known, output, [])
+    return output
+
+
+@query("run_incremental_parquet", f"""
+WITH {RUN_PAIRS},
+ds AS (SELECT dataset, pair_id, src, tgt FROM ruled WHERE src <> tgt),
+by_src AS (SELECT * FROM ds QUALIFY row_number() OVER (PARTITION BY src ORDER BY dataset, pair_id) = 1),
+by_tgt AS (SELECT * FROM by_src QUALIFY row_number() OVER (PARTITION BY tgt ORDER BY dataset, pair_id) = 1)
+SELECT dataset, src AS en, tgt AS am FROM by_tgt
+WHERE src NOT IN (SELECT k FROM test_keys) AND tgt NOT IN (SELECT k FROM test_keys)""")
+def run_incremental_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over a growing catalog, then the merge of what both left."""
+    output = _two_runs(spark, sf_dir, "parquet")
+    corpus.merge_datasets(spark, output, test_keys(spark, sf_dir))
+    return spark.read.parquet(f"{output.root}/merged_en-am").select("dataset", "en", "am")
+
+
+@query("run_incremental_text", f"""
+WITH {RUN_PAIRS}
+SELECT 'en' AS lang, dataset, replace(replace(src, chr(13), ' '), chr(10), ' ') AS line FROM ruled
+UNION ALL SELECT 'am', dataset, replace(replace(tgt, chr(13), ' '), chr(10), ' ') FROM ruled""")
+def run_incremental_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text files that two runs over a growing catalog leave."""
+    output = _two_runs(spark, sf_dir, "text")
+    lines = spark.read.text(f"{output.text}/lang_pair={output.lang_pair}")
+    return lines.select("lang", F.col("dataset").cast("string").alias("dataset"), F.col("value").alias("line"))
 
 
 # --- sampling and tagging -----------------------------------------------------
@@ -308,17 +360,10 @@ FROM picked""")
 def merge_sample_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four corpora, one per language of the documents, each with its own tags and size."""
     corpora = {
-        "en": ("eng_Latn", "amh_Ethi", 1.0),
-        "fr": ("eng_Latn", "swa_Latn", 0.5),
-        "de": ("amh_Ethi", "eng_Latn", 40),
-        "es": ("som_Latn", "swa_Latn", 40),
+        "en": Corpus("eng_Latn", "amh_Ethi", 1.0),
+        "fr": Corpus("eng_Latn", "swa_Latn", 0.5),
+        "de": Corpus("amh_Ethi", "eng_Latn", 40),
+        "es": Corpus("som_Latn", "swa_Latn", 40),
     }
     wide = pairs_wide(spark, sf_dir)
-    sized = sampling.sample(
-        wide.select("pair_id", F.col("lang").alias("dataset"), "src", "tgt"),
-        {lang: size for lang, (_, _, size) in corpora.items()}, "seed",
-    )
-    return union_corpora(
-        tag_languages(sized.where(F.col("dataset") == lang), src_lang, tgt_lang, keep=["pair_id"])
-        for lang, (src_lang, tgt_lang, _) in corpora.items()
-    )
+    return sample_and_tag(wide.select("pair_id", F.col("lang").alias("dataset"), "src", "tgt"), corpora, "seed")

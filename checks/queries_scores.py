@@ -8,8 +8,10 @@ from checks import sql
 from checks.queries_rules import complete
 from checks.registry import query
 from checks.views import documents, labelled_pairs, pairs, pairs_wide, quality_by_document, table, vector_pairs
+from pairloom.functions.fixed_values import ENCODER_FAMILIES
 from pairloom.functions.vectors import cosine
 from pairloom.operators import language, quality, semantic
+from pairloom.operators.joins import lookup_join
 from pairloom.operators.language import LanguageProfile, Side
 from pairloom.operators.scoring import attach_score
 
@@ -81,6 +83,29 @@ def semantic_filter_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semantic.semantic_filter(encoded, "a", "b").drop("a", "b")
 
 
+ROUTES = """
+coded AS (SELECT p.pair_id, p.src, p.tgt, p.lang AS src_lang, coalesce(d.lang, p.lang) AS tgt_lang
+          FROM full_pairs p LEFT JOIN documents d ON d.doc_id = p.doc_id + 1)"""
+
+
+@query("semantic_routed", f"""
+WITH {sql.PAIRS},{ROUTES},
+routed AS (SELECT pair_id, src, tgt, {sql.encoder_case()} AS encoder FROM coded),{_text_cosine('routed')}
+SELECT pair_id, encoder, round(CASE WHEN encoder IS NOT NULL THEN cos END, 6) AS similarity
+FROM routed JOIN text_sim USING (pair_id)""")
+def semantic_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs tagged with the languages of a document and the next, scored by their own family."""
+    langs = table(spark, sf_dir, "documents").select((F.col("doc_id") - 1).alias("doc_id"), F.col("lang").alias("next"))
+    wide = pairs_wide(spark, sf_dir).where("tgt is not null")
+    coded = lookup_join(wide, langs.withColumnRenamed("doc_id", "of"), "doc_id", "of", "left").withColumns(
+        {"src_lang": F.col("lang"), "tgt_lang": F.coalesce("next", "lang")}
+    )
+    routed = semantic.route_encoders(coded)
+    scorers = {family: semantic.gram_similarity() for family in ENCODER_FAMILIES}
+    score = F.round(semantic.routed_similarity(routed, scorers), 6)
+    return routed.select("pair_id", "encoder", score.alias("similarity"))
+
+
 @query("encoder_route", f"""
 WITH coded AS (SELECT a.doc_id AS pair_id, a.lang AS src_lang, coalesce(b.lang, a.source) AS tgt_lang
                FROM documents a LEFT JOIN documents b ON b.doc_id = a.doc_id + 1),

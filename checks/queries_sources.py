@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import sql
@@ -16,25 +12,13 @@ from pairloom.operators.dedup import deduplicate
 from pairloom.operators.rules import rule_filter
 from pairloom.plans.manifest import dataset_metadata
 from pairloom.plans.stages import COUNTS, with_total
+from pairloom.session import staging_folder
 from pairloom.sinks import files
 from pairloom.sources import alignment, catalog, lines, tables
 from pairloom.sources.catalog import Entry
 from pairloom.sources.positions import numbered_rows
 
 
-def staging_folder(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; only a local session may use its own disk."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        name = spark.sql("select uuid()").first()[0]
-        return f"{shared}/staging-{name}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="pairloom-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
-
-
 @query("src_aligned_lines", f"""
 WITH {sql.LINES},
 l AS (SELECT doc_id, unnest(range(len(lns))) AS position, unnest(lns) AS line FROM docl)

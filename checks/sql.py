@@ -13,13 +13,19 @@ pw AS (SELECT doc_id * 1000000 + i AS pair_id, source AS dataset, lang, doc_id,
        FROM (SELECT *, unnest(range(1, len(lns) + 1)) AS i FROM docl)),
 full_pairs AS (SELECT * FROM pw WHERE src IS NOT NULL AND tgt IS NOT NULL)"""
 
-MERGED = PAIRS + """,
-ds AS (SELECT pair_id, dataset, src, tgt FROM full_pairs WHERE src <> tgt),
+
+def deduplicated(rel: str) -> str:
+    """``by_tgt``: the first rows per source, then per target, of pairs that differ."""
+    return f"""
+ds AS (SELECT pair_id, dataset, src, tgt FROM {rel} WHERE src <> tgt),
 by_src AS (SELECT pair_id, dataset, src, tgt FROM ds
            QUALIFY row_number() OVER (PARTITION BY src ORDER BY pair_id) = 1),
 by_tgt AS (SELECT pair_id, dataset, src, tgt FROM by_src
            QUALIFY row_number() OVER (PARTITION BY tgt ORDER BY pair_id) = 1)"""
 
+
+MERGED = PAIRS + "," + deduplicated("full_pairs")
+
 TEST_KEYS = """
 test_keys AS (SELECT DISTINCT unnest(string_split(text, chr(10))) AS k FROM benchmark)"""
 
@@ -118,6 +124,6 @@ quality_table AS (SELECT ratio_bin, size_bin, (sum(quality::BIGINT) + 1)::DOUBLE
 def encoder_case() -> str:
     whens = []
     for family, codes in ENCODER_FAMILIES.items():
-        known = ", ".join(f"'{c}'" for c in codes.split())
+        known = ", ".join(f"'{c}'" for c in codes)
         whens.append(f"WHEN src_lang IN ({known}) AND tgt_lang IN ({known}) THEN '{family}'")
     return "CASE WHEN length(src_lang) > 2 OR length(tgt_lang) > 2 THEN NULL " + " ".join(whens) + " END"

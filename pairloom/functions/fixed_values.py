@@ -34,17 +34,23 @@ QUALITY_THRESHOLD = 0.7
 # --- fixed values: encoder families, in order of priority ---------------------
 
 ENCODER_FAMILIES = {
-    "distiluse-base-multilingual-cased-v1": "ar de en es fr it ko nl pt ru tr zh",
+    "distiluse-base-multilingual-cased-v1": ("ar", "de", "en", "es", "fr", "it", "ko", "nl", "pt", "ru", "tr", "zh"),
     "paraphrase-multilingual-MiniLM-L12-v2": (
-        "ar bg ca cs da de en el es et fa fi fr gl gu he hi hr hu hy id it ja ka ko ku lt lv mk mn"
-        " mr ms my nb nl pl pt ro ru sk sl sq sr sv th tr uk ur vi zh"
+        "ar", "bg", "ca", "cs", "da", "de", "en", "el", "es", "et", "fa", "fi", "fr", "gl", "gu",
+        "he", "hi", "hr", "hu", "hy", "id", "it", "ja", "ka", "ko", "ku", "lt", "lv", "mk", "mn",
+        "mr", "ms", "my", "nb", "nl", "pl", "pt", "ro", "ru", "sk", "sl", "sq", "sr", "sv", "th",
+        "tr", "uk", "ur", "vi", "zh",
     ),
-    "microsoft/Multilingual-MiniLM-L12-H384": "en ar bg de el es fr hi ru sw th tr ur vi zh",
+    "microsoft/Multilingual-MiniLM-L12-H384": ("en", "ar", "bg", "de", "el", "es", "fr", "hi", "ru", "sw", "th", "tr", "ur", "vi", "zh"),
     "sentence-transformers/LaBSE": (
-        "af sq am ar hy as az eu be bn bs bg my ca ceb zh co hr cs da nl en eo et fi fr fy gl ka de"
-        " el gu ht ha haw he hi hmn hu is ig id ga it ja jv kn kk km rw ko ku ky lo la lv lt lb mk mg"
-        " ms ml mt mi mr mn ne no ny or fa pl pt pa ro ru sm gd sr st sn si sk sl so es su sw sv tl"
-        " tg ta tt te th bo tr tk ug uk ur uz vi cy wo xh yi yo zu"
+        "af", "sq", "am", "ar", "hy", "as", "az", "eu", "be", "bn", "bs", "bg", "my", "ca", "ceb",
+        "zh", "co", "hr", "cs", "da", "nl", "en", "eo", "et", "fi", "fr", "fy", "gl", "ka", "de",
+        "el", "gu", "ht", "ha", "haw", "he", "hi", "hmn", "hu", "is", "ig", "id", "ga", "it", "ja",
+        "jv", "kn", "kk", "km", "rw", "ko", "ku", "ky", "lo", "la", "lv", "lt", "lb", "mk", "mg",
+        "ms", "ml", "mt", "mi", "mr", "mn", "ne", "no", "ny", "or", "fa", "pl", "pt", "pa", "ro",
+        "ru", "sm", "gd", "sr", "st", "sn", "si", "sk", "sl", "so", "es", "su", "sw", "sv", "tl",
+        "tg", "ta", "tt", "te", "th", "bo", "tr", "tk", "ug", "uk", "ur", "uz", "vi", "cy", "wo",
+        "xh", "yi", "yo", "zu",
     ),
 }
 

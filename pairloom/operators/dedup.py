@@ -32,22 +32,37 @@ def deduplicate(df: DataFrame) -> DataFrame:
 
 
 def dedup_counts(df: DataFrame) -> DataFrame:
-    """Rows before and after each step."""
-    distinct = drop_identical(df)
+    """Rows before and after each step, from one scan.
+
+    Every aggregation sits on the one before and carries its counts: per pair, per source,
+    per target, and in all.  Rows are combined on the map side, so no text is hot.
+    """
+    same = F.coalesce(F.col("src") == F.col("tgt"), F.lit(False)).alias("same")
+    by_pair = df.groupBy("src", "tgt", same).agg(F.count(F.lit(1)).alias("n"), F.min("pair_id").alias("first"))
+    distinct = ~F.col("same")
+    by_source = by_pair.groupBy("src").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(distinct, F.col("n")).otherwise(0)).alias("distinct"),
+        F.count_if(distinct).alias("pairs"),
+        F.min_by(F.when(distinct, F.struct("tgt")), F.when(distinct, F.col("first"))).alias("kept"),
+    )
+    # A source of which only identical pairs exist keeps no row and meets no target.
+    has_row = F.col("kept").isNotNull().alias("has_row")
+    by_target = by_source.groupBy(has_row, F.col("kept.tgt").alias("tgt")).agg(
+        *[F.sum(c).alias(c) for c in ("n", "distinct", "pairs")], F.count(F.lit(1)).alias("sources")
+    )
+    total = by_target.agg(
+        *[F.sum(c).alias(c) for c in ("n", "distinct", "pairs")],
+        F.sum(F.when(F.col("has_row"), F.col("sources"))).alias("sources"),
+        F.count_if("has_row").alias("targets"),
+    )
     steps = {
-        "input": df,
-        "drop_identical": distinct,
-        "first_per_pair": distinct.select("pair_id", "src", "tgt").transform(first_per_pair),
-        "first_per_source": distinct.select("src").distinct(),
-        "first_per_target": deduplicate(df.select("pair_id", "src", "tgt")),
+        "input": "n", "drop_identical": "distinct", "first_per_pair": "pairs",
+        "first_per_source": "sources", "first_per_target": "targets",
     }
-    counts = [
-        frame.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(i).alias("step_no"), F.lit(name).alias("step"), "rows"
-        )
-        for i, (name, frame) in enumerate(steps.items())
+    rows = [
+        F.struct(F.lit(i).alias("step_no"), F.lit(step).alias("step"),
+                 F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias("rows"))
+        for i, (step, c) in enumerate(steps.items())
     ]
-    union = counts[0]
-    for part in counts[1:]:
-        union = union.unionByName(part)
-    return union
+    return total.select(F.inline(F.array(*rows)))

@@ -18,6 +18,8 @@ def _row_bytes(df: DataFrame) -> Column:
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             size = F.octet_length(field.name)
+        elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType):
+            size = F.greatest(F.size(field.name), F.lit(0)) * 8
         elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
             size = F.octet_length(F.to_json(F.struct(field.name)))
         else:
@@ -44,16 +46,20 @@ def lookup_join(
     limit: int = BROADCAST_BYTES,
     salts: int = SALTS,
     sized_by: DataFrame | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """``big`` joined to ``lookup`` (unique on ``right``); null keys match null keys.
 
     ``how`` is inner, left, left_semi or left_anti.  The key column of the lookup side is
     not part of the result.  ``sized_by`` is measured in place of a lookup that is costly
-    to compute: a cheap table with at least as many rows (e.g. the distinct keys).
+    to compute: a cheap table with at least as many rows (e.g. the distinct keys).  ``small``
+    is the answer of an earlier measurement, in place of one here.
     """
     key = F.col("lookup." + right)
     match = F.col("big." + left).eqNullSafe(key)
-    if fits_broadcast(lookup if sized_by is None else sized_by, limit):
+    if small is None:
+        small = fits_broadcast(lookup if sized_by is None else sized_by, limit)
+    if small:
         joined = big.alias("big").join(F.broadcast(lookup).alias("lookup"), match, how)
     else:
         # Rows of one hot key go to `salts` tasks; each finds its own copy of the lookup row.

@@ -14,7 +14,6 @@ from pairloom.functions import grams
 from pairloom.functions.text import newline_to_space, strip_label_prefix
 
 WEIGHT_SCALE = 1000
-MAX_LANGUAGES = 1000
 DETECTION = "code string, score double"
 
 
@@ -43,6 +42,13 @@ def gram_counts(labelled: DataFrame, lang: str, text: str, n: int) -> DataFrame:
     return partial.groupBy("lang", "bucket").agg(F.sum("n_grams").alias("n_grams"))
 
 
+def _weights(buckets: Sequence[int], n_grams: Sequence[int]) -> np.ndarray:
+    counts = np.zeros(grams.BUCKETS, dtype=np.int64)
+    counts[buckets] = n_grams
+    smoothed = (counts + 1) / (counts.sum() + grams.BUCKETS)
+    return np.rint(WEIGHT_SCALE * np.log(smoothed)).astype(np.int32)
+
+
 @dataclass(frozen=True)
 class LanguageProfile:
     """Naive Bayes weights: for language i and bucket b, round(1000 * ln p(b | i)).
@@ -60,24 +66,15 @@ class LanguageProfile:
         """Learn from labelled texts.  The driver receives the finished profile only: at
         most 65536 numbers per language, however large the corpus."""
         counts = gram_counts(labelled, lang, text, n)
-        # One row per language, at most MAX_LANGUAGES + 1 of them fetched.
-        rows = (
-            counts.groupBy("lang")
-            .agg(F.collect_list("bucket").alias("buckets"), F.collect_list("n_grams").alias("n_grams"))
-            .orderBy("lang")
-            .limit(MAX_LANGUAGES + 1)
-            .collect()
+        # One row per language, of at most 65536 buckets; they come one partition after another.
+        rows = counts.groupBy("lang").agg(
+            F.collect_list("bucket").alias("buckets"), F.collect_list("n_grams").alias("n_grams")
         )
-        if len(rows) > MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
-        if not rows:
+        learned = {r.lang: _weights(r.buckets, r.n_grams) for r in rows.toLocalIterator()}
+        if not learned:
             raise ValueError("no labelled text to learn from")
-        table = np.zeros((len(rows), grams.BUCKETS), dtype=np.int64)
-        for i, row in enumerate(rows):
-            table[i, row.buckets] = row.n_grams
-        smoothed = (table + 1) / (table.sum(axis=1, keepdims=True) + grams.BUCKETS)
-        weights = np.rint(WEIGHT_SCALE * np.log(smoothed)).astype(np.int32)
-        return cls(n, tuple(r.lang for r in rows), weights)
+        languages = sorted(learned)
+        return cls(n, tuple(languages), np.stack([learned[lang] for lang in languages]))
 
     def detector(self, df: DataFrame) -> LanguageDetector:
         return LanguageDetector(self, df)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions.text import word_set
 from pairloom.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
+from pairloom.session import cut_lineage
 
 
 def drop_leaked(
@@ -18,21 +21,30 @@ def drop_leaked(
     """Drop a pair when its source or its target is in the test set; null matches null.
 
     Two chained anti joins on equality keep hash joins possible.  A pair found as a whole
-    in the test set is found by its source alone, so it needs no third join.
+    in the test set is found by its source alone, so it needs no third join.  The keys of
+    both sides are measured together, once; of a test set beyond the bound, the keys that
+    occur in the corpus are found for both sides in one pass and stored.
     """
-    for side, column in (("src", test_src), ("tgt", test_tgt)):
-        keys = test.select(F.col(column).alias("test_key")).distinct()
-        if not fits_broadcast(keys, limit):
-            # A test set beyond the bound: only its keys that occur in the corpus matter.
-            keys = keys.join(
-                pairs.select(F.col(side).alias("text")).distinct(),
-                F.col("test_key").eqNullSafe(F.col("text")),
-                "left_semi",
-            )
-        pairs = lookup_join(pairs, keys, side, "test_key", "left_anti", limit)
+    sides = {"src": test_src, "tgt": test_tgt}
+    keys = _both_sides(test, sides).distinct()
+    small = fits_broadcast(keys, limit)
+    if not small:
+        texts = _both_sides(pairs, {side: side for side in sides}).distinct().alias("texts")
+        met = (F.col("keys.side") == F.col("texts.side")) & F.col("keys.text").eqNullSafe(F.col("texts.text"))
+        keys = cut_lineage(keys.alias("keys").join(texts, met, "left_semi"))
+        small = fits_broadcast(keys, limit)
+    for side in sides:
+        of_side = keys.where(F.col("side") == side).select(F.col("text").alias("test_key"))
+        pairs = lookup_join(pairs, of_side, side, "test_key", "left_anti", small=small)
     return pairs
 
 
+def _both_sides(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """(side, text) of two text columns, in one scan."""
+    sides = [F.struct(F.lit(side).alias("side"), F.col(c).alias("text")) for side, c in columns.items()]
+    return df.select(F.inline(F.array(*sides)))
+
+
 # Near matches: token-set Jaccard similarity above a threshold.
 #
 # A set of n tokens that is at least t-similar to another shares a token with it among any
@@ -100,10 +112,16 @@ def near_matches(
         # by adaptive execution.  The sets are fetched for the candidates only.
         # test_id is a hash: texts that should share one are all compared.
         named = indexed.withColumn("test_id", F.xxhash64("text"))
-        index = named.select("side", "test_id", F.explode("index_tokens").alias("token"))
+        index = named.select("side", "test_id", "test_n", F.explode("index_tokens").alias("token"))
         sets = named.select("side", "test_id", "test_tokens")
-        met = words.drop("tokens").join(index, ["side", "token"])
-        candidates = met.select("pair_id", "side", "test_id").distinct()
+        # The sizes go along, so that a frequent word meets only test texts of a fitting length.
+        n = F.size("tokens").alias("n")
+        fitting = (F.col("n") >= F.col("test_n") * F.lit(threshold)) & (F.col("test_n") >= F.col("n") * F.lit(threshold))
+        same_word = (F.col("words.side") == F.col("index.side")) & (F.col("words.token") == F.col("index.token"))
+        met = words.select("pair_id", "side", "token", n).alias("words").join(index.alias("index"), same_word & fitting).select(
+            "pair_id", "words.side", "test_id"
+        )
+        candidates = met.distinct()
         judged = candidates.join(texts, ["pair_id", "side"]).join(sets, ["side", "test_id"])
         hits = judged.where(similar(F.col("tokens"), F.size("test_tokens"), F.col("test_tokens")))
     return hits.select("pair_id").distinct()
@@ -117,10 +135,10 @@ def drop_near_leaked(
     test_tgt: str = "tgt",
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Drop a pair when its source or target is a near match of the test side."""
-    sides = [
-        test.select(F.lit(side).alias("side"), F.col(column).alias("text"))
-        for side, column in (("src", test_src), ("tgt", test_tgt))
-    ]
-    hits = near_matches(pairs, sides[0].unionByName(sides[1]).distinct(), threshold, limit)
-    return pairs.join(hits, "pair_id", "left_anti")
+    """Drop a pair when its source or target is a near match of the test side.
+
+    The hits, usually few, are stored and measured; then the pairs are filtered where they lie.
+    """
+    both = _both_sides(test, {"src": test_src, "tgt": test_tgt}).distinct()
+    hits = cut_lineage(near_matches(pairs, both, threshold, limit).withColumnRenamed("pair_id", "hit_id"))
+    return lookup_join(pairs, hits, "pair_id", "hit_id", "left_anti", limit)

@@ -47,8 +47,10 @@ def train_quality(labelled: DataFrame, label: str = "label") -> DataFrame:
 
 def score_quality(pairs: DataFrame, table: DataFrame) -> DataFrame:
     """Pairs with their ``quality``; a bin never seen in training scores one half."""
-    # At most 21 * 13 rows: broadcast whatever the corpus size.
-    joined = with_bins(pairs).join(F.broadcast(table), ["ratio_bin", "size_bin"], "left")
+    # One row per bin that exists: at most 21 * 13, whatever table is given.
+    bins = table.where(F.col("ratio_bin").between(0, RATIO_BINS) & F.col("size_bin").between(0, TOKEN_BINS))
+    bins = bins.groupBy("ratio_bin", "size_bin").agg(F.max("quality").alias("quality"))
+    joined = with_bins(pairs).join(F.broadcast(bins), ["ratio_bin", "size_bin"], "left")
     return joined.select(*pairs.columns, F.coalesce("quality", F.lit(0.5)).alias("quality"))
 
 

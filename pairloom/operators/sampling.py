@@ -6,8 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pairloom.operators.joins import lookup_join
+from pairloom.operators.joins import fits_broadcast, lookup_join
 from pairloom.operators.rules import shuffle_key
+from pairloom.session import cut_lineage
 
 HASH_DIGITS = 5  # 16**5 = 1,048,576 bins: the bin that is cut holds a millionth of the rows
 
@@ -38,7 +39,8 @@ def sample(
 
     A histogram of hash prefixes finds, per dataset, the bin in which the n-th row falls;
     only the ids of that bin, about a millionth of the dataset, are ranked to find the last
-    hash to keep.  The rows themselves are then filtered in one scan, without a shuffle.
+    hash to keep.  The rows themselves are then filtered in one scan, without a shuffle.  The
+    bins to cut are stored, so the ids are read twice and the rows once.
     """
     ids = df.select("dataset", "pair_id", shuffle_key(seed, "pair_id").alias("_hash"))
     bin_of = F.substring("_hash", 1, HASH_DIGITS)
@@ -53,13 +55,14 @@ def sample(
         (F.col("before") < F.col("wanted")) & (F.col("before") + F.col("n") >= F.col("wanted"))
     ).select(F.col("dataset").alias("cut_key"), F.col("bin").alias("cut_bin"), (F.col("wanted") - F.col("before")).alias("need"))
     # One row per dataset at most; a dataset of which nothing is wanted has none.
-    names = df.select("dataset").distinct()
-    edge = lookup_join(ids, cut_bins, "dataset", "cut_key", "inner", sized_by=names).where(bin_of == F.col("cut_bin"))
+    cut_bins = cut_lineage(cut_bins)
+    small = fits_broadcast(cut_bins)
+    edge = lookup_join(ids, cut_bins, "dataset", "cut_key", "inner", small=small).where(bin_of == F.col("cut_bin"))
     rank = F.row_number().over(Window.partitionBy("dataset").orderBy("_hash", "pair_id"))
     last = edge.withColumn("rank", rank).where(F.col("rank") == F.col("need")).select(
         F.col("dataset").alias("cut_key"), F.col("_hash").alias("cut_hash"), F.col("pair_id").alias("cut_id")
     )
-    located = lookup_join(df, last, "dataset", "cut_key", "inner", sized_by=names)
+    located = lookup_join(df, last, "dataset", "cut_key", "inner", small=small)
     own = shuffle_key(seed, "pair_id")
     kept = (own < F.col("cut_hash")) | ((own == F.col("cut_hash")) & (F.col("pair_id") <= F.col("cut_id")))
     return located.where(kept).select(df.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pairloom.functions import grams
 from pairloom.functions.fixed_values import ENCODER_FAMILIES, SEMANTIC_THRESHOLD
 from pairloom.functions.vectors import cosine
+from pairloom.operators.joins import fits_broadcast, lookup_join
 
 DIMENSIONS = 64
 
@@ -52,18 +53,63 @@ def semantic_filter(
     return df.where(cosine(src_vector, tgt_vector) > F.lit(threshold))
 
 
+def with_vectors(pairs: DataFrame, vectors: DataFrame, src_key: str, tgt_key: str) -> DataFrame:
+    """Every pair with ``src_vector`` and ``tgt_vector`` out of ``vectors`` (vector_id, vector),
+    null where there is none.  The table is measured once; keys may repeat in the pairs."""
+    small = fits_broadcast(vectors)
+    for key, name in ((src_key, "src_vector"), (tgt_key, "tgt_vector")):
+        side = vectors.select(F.col("vector_id").alias("_key"), F.col("vector").alias(name))
+        pairs = lookup_join(pairs, side, key, "_key", "left", small=small)
+    return pairs
+
+
 def semantic_filter_by_table(
     pairs: DataFrame,
     vectors: DataFrame,
     src_key: str,
     tgt_key: str,
     threshold: float = SEMANTIC_THRESHOLD,
+    missing: str = "drop",
 ) -> DataFrame:
-    """The same over stored vectors: ``vectors`` holds (vector_id, vector)."""
-    src = vectors.select(F.col("vector_id").alias(src_key), F.col("vector").alias("src_vector"))
-    tgt = vectors.select(F.col("vector_id").alias(tgt_key), F.col("vector").alias("tgt_vector"))
-    joined = pairs.join(src, src_key).join(tgt, tgt_key)
-    return joined.transform(semantic_filter, "src_vector", "tgt_vector", threshold).select(pairs.columns)
+    """The same over stored vectors.  A pair without one of its vectors is dropped, is kept
+    with ``missing="keep"``, or is an error with ``missing="error"``."""
+    if missing not in ("drop", "keep", "error"):
+        raise ValueError(f"missing is {missing!r}, expected drop, keep or error")
+    found = with_vectors(pairs, vectors, src_key, tgt_key)
+    absent = F.col("src_vector").isNull() | F.col("tgt_vector").isNull()
+    if missing == "error":
+        keys = F.concat_ws(", ", F.col(src_key).cast("string"), F.col(tgt_key).cast("string"))
+        verdict = F.raise_error(F.concat(F.lit("no vector for one of: "), keys)).cast("boolean")
+    else:
+        verdict = F.lit(missing == "keep")
+    similar = cosine("src_vector", "tgt_vector") > F.lit(threshold)
+    return found.where(F.when(absent, verdict).otherwise(similar)).select(pairs.columns)
+
+
+def missing_vectors(pairs: DataFrame, vectors: DataFrame, src_key: str, tgt_key: str) -> DataFrame:
+    """One row: pairs in all, and pairs without a source, a target or any of the two vectors."""
+    found = with_vectors(pairs.select(src_key, tgt_key), vectors, src_key, tgt_key)
+    no_src, no_tgt = F.col("src_vector").isNull(), F.col("tgt_vector").isNull()
+    return found.agg(
+        F.count(F.lit(1)).alias("pairs"), F.count_if(no_src).alias("no_src"),
+        F.count_if(no_tgt).alias("no_tgt"), F.count_if(no_src | no_tgt).alias("incomplete"),
+    )
+
+
+def routed_similarity(
+    df: DataFrame, scorers: Mapping[str, Callable[[Column, Column], Column]], encoder: str = "encoder"
+) -> Column:
+    """Similarity of src and tgt by the scorer of the row's own encoder family; null where
+    the row has no encoder or its family no scorer.  Each scorer is offered null texts for
+    the rows of others, so no model runs on them."""
+    unknown = set(scorers) - set(ENCODER_FAMILIES)
+    if unknown:
+        raise ValueError(f"unknown encoder families {sorted(unknown)}")
+    scores = []
+    for family, score in scorers.items():
+        own = df[encoder] == family
+        scores.append(F.when(own, score(F.when(own, df["src"]), F.when(own, df["tgt"]))))
+    return F.coalesce(*scores) if scores else F.lit(None).cast("double")
 
 
 def encoder_family(src_lang: Column | str, tgt_lang: Column | str) -> Column:
@@ -72,8 +118,7 @@ def encoder_family(src_lang: Column | str, tgt_lang: Column | str) -> Column:
     tgt = F.col(tgt_lang) if isinstance(tgt_lang, str) else tgt_lang
     choice = F.when((F.length(src) > 2) | (F.length(tgt) > 2), F.lit(None).cast("string"))
     for family, codes in ENCODER_FAMILIES.items():
-        known = codes.split()
-        choice = choice.when(src.isin(known) & tgt.isin(known), F.lit(family))
+        choice = choice.when(src.isin(*codes) & tgt.isin(*codes), F.lit(family))
     return choice
 
 

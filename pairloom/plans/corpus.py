@@ -12,12 +12,12 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.operators.dedup import deduplicate
-from pairloom.operators.leakage import drop_leaked
+from pairloom.operators.language import LanguageDetector, detect_languages, language_report
 from pairloom.operators.quality import corpus_quality, score_quality
 from pairloom.operators.rules import RuleOptions
-from pairloom.plans.manifest import dataset_metadata
-from pairloom.plans.merge import finished_pairs, included_datasets, merge_metadata
+from pairloom.operators.sampling import row_cap
+from pairloom.plans.manifest import dataset_metadata, latest_metadata, merged_summary, still_to_do
+from pairloom.plans.merge import finished_pairs, included_datasets, merge_corpus, merge_metadata
 from pairloom.plans.stages import COUNTS, Stage, flag_stages, stage_funnel, with_total
 from pairloom.session import cut_lineage
 from pairloom.sinks import files
@@ -72,16 +72,26 @@ def process_datasets(
     rules: RuleOptions | None = RuleOptions(),
     quality_table: DataFrame | None = None,
     from_cache: bool = True,
+    cap: int | None = None,
+    report: tuple[LanguageDetector, LanguageDetector] | None = None,
 ) -> DataFrame:
-    """Process what is not finished yet; returns the summary with its TOTAL row."""
+    """Process what is not finished yet; returns the summary with its TOTAL row, in which
+    ``cached`` marks the datasets of earlier runs.
+
+    ``cap`` limits the rows read in this run.  ``report`` writes the languages that two
+    detectors find on either side of what was kept.
+    """
     files.check_format(output.save_format)
-    manifest = read_manifest(spark, output)
-    # One name per catalog entry: a list as long as the catalog.
-    done = {r.dataset_name for r in manifest.select("dataset_name").collect()} if from_cache else set()
     named = named_entries(entries)
-    todo = [(name, entry.kind) for _, name, entry in named if name not in done]
-    if todo:
-        pairs = read_catalog(spark, entries, output.src_lang, output.tgt_lang, skip=done)
+    listed = spark.createDataFrame([(name, entry.kind) for _, name, entry in named], "dataset string, source string")
+    # Names of catalog entries: a list as long as the catalog.
+    todo = listed if not from_cache else still_to_do(listed, read_manifest(spark, output))
+    processed = [r.dataset for r in todo.select("dataset").collect()]
+    if processed:
+        skip = {name for _, name, _ in named} - set(processed)
+        pairs = read_catalog(spark, entries, output.src_lang, output.tgt_lang, skip=skip)
+        if cap is not None:
+            pairs = row_cap(pairs, cap)
         # Scored once, written to the shared folder; output, counts and quality read that.
         # Of rows that were lost only the dataset and the stage are kept.
         survives = F.col("passed") == len(stages)
@@ -89,51 +99,72 @@ def process_datasets(
         flagged = flagged.withColumns({c: F.when(survives, F.col(c)) for c in ("src", "tgt")})
         flagged = cut_lineage(flagged, output.checkpoint_dir)
         kept = flagged.where(survives).drop("passed")
-        processed = [name for name, _ in todo]
         # Merging reads Parquet; text files are written beside it.
         files.write_pairs(kept, output.pairs, output.src_lang, output.tgt_lang, processed)
         if output.save_format == "text":
             files.write_aligned_text(kept, output.text, output.src_lang, output.tgt_lang, datasets=processed)
-        funnel = stage_funnel(pairs, flagged, stages)
+        if report is not None:
+            write_language_report(kept, output, report)
+        kinds = listed.where(F.col("dataset").isin(processed))
+        counts = stage_funnel(pairs, flagged, stages)
+        # A dataset of which no row was read counts zero, and is finished as well.
+        funnel = kinds.join(counts, "dataset", "left").na.fill(0, list(COUNTS))
         if quality_table is None:
             summary = funnel.withColumn("quality_score", F.lit(None).cast("double"))
         else:
             summary = funnel.join(corpus_quality(score_quality(kept, quality_table)), "dataset", "left")
-        kinds = spark.createDataFrame(todo, "dataset string, source string")
-        summary = summary.join(kinds, "dataset", "left")
         files.write_metadata(
             dataset_metadata(summary, output.lang_pair, F.current_timestamp()), output.manifest
         )
     wanted = [name for _, name, _ in named]
-    stored = read_manifest(spark, output).where(F.col("dataset_name").isin(wanted))
-    latest = stored.groupBy("dataset_name").agg(
-        F.max_by(F.struct("source", *COUNTS, "quality_score"), "processed_at").alias("r")
-    )
-    rows = latest.select(F.col("dataset_name").alias("dataset"), "r.*")
-    totals = with_total(rows.drop("source", "quality_score"), rows.select("dataset", "quality_score"))
-    summary = totals.join(rows.select("dataset", "source"), "dataset", "left")
+    latest = latest_metadata(read_manifest(spark, output).where(F.col("dataset_name").isin(wanted)))
+    new = F.col("dataset_name").isin(processed) if processed else F.lit(False)
+    rows = merged_summary(latest.where(~new), latest.where(new)).withColumnRenamed("dataset_name", "dataset")
+    totals = with_total(rows.select("dataset", *COUNTS), rows.select("dataset", "quality_score"))
+    summary = totals.join(rows.select("dataset", "source", "cached"), "dataset", "left")
     files.write_summary_csv(summary, f"{output.root}/summary")
     return summary
 
 
+def write_language_report(
+    kept: DataFrame, output: Output, detectors: tuple[LanguageDetector, LanguageDetector]
+) -> None:
+    """Share of each detected language per side and dataset, as JSON under root/languages."""
+    detected = detect_languages(kept, *detectors)
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"{s}_lang.code").alias("code")) for s in ("src", "tgt")])
+    found = detected.select("dataset", F.inline(sides)).withColumn("part", F.struct("side", "dataset"))
+    report = language_report(found, "code", by="part").select("part.*", "code", "rows", "share")
+    files.write_metadata(report, f"{output.root}/languages/{output.lang_pair}", mode="overwrite")
+
+
 def merge_datasets(
     spark: SparkSession,
     output: Output,
     test: DataFrame | None = None,
     dedup: bool = True,
     excluded: Sequence[str] = (),
+    include_excluded: bool = False,
+    near: float | None = None,
+    least_quality: float | None = None,
 ) -> DataFrame:
-    """Merge all finished datasets, write the corpus and its metadata, return the metadata."""
-    manifest = read_manifest(spark, output).withColumn("excluded", F.col("dataset_name").isin(list(excluded)))
-    latest = manifest.groupBy("dataset_name", "excluded").agg(
-        F.max_by("quality_score", "processed_at").alias("quality_score")
-    )
+    """Merge all finished datasets, write the corpus and its metadata, return the metadata.
+
+    ``excluded`` datasets are set aside unless ``include_excluded``; with ``least_quality``
+    those are, too, whose stored quality is lower or unknown.  ``near``: see ``merge_corpus``.
+    """
+    latest = latest_metadata(read_manifest(spark, output))
+    aside = F.col("dataset_name").isin(list(excluded))
+    if least_quality is not None:
+        aside = aside | ~F.coalesce(F.col("quality_score") >= least_quality, F.lit(False))
+    latest = latest.withColumn("excluded", aside)
     stored = files.read_pairs(spark, output.pairs, output.src_lang, output.tgt_lang)
-    pairs = finished_pairs(stored, latest)
-    merged = cut_lineage(deduplicate(pairs), output.checkpoint_dir) if dedup else pairs
-    final = merged if test is None else drop_leaked(merged, test)
+    pairs = finished_pairs(stored, latest, include_excluded)
+    merged, final = merge_corpus(pairs, test, dedup, near, lambda df: cut_lineage(df, output.checkpoint_dir))
     path = files.write_merged(final, output.root, output.src_lang, output.tgt_lang)
     written = spark.read.parquet(path)
-    metadata = merge_metadata(included_datasets(pairs, latest), output.lang_pair, merged, written)
+    included = included_datasets(pairs, latest)
+    metadata = cut_lineage(
+        merge_metadata(included, output.lang_pair, merged, written, F.current_timestamp()), output.checkpoint_dir
+    )
     files.write_metadata(metadata, f"{path}_metadata", mode="overwrite")
     return metadata

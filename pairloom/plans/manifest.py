@@ -31,6 +31,13 @@ def dataset_metadata(
     )
 
 
+def latest_metadata(manifest: DataFrame) -> DataFrame:
+    """The newest row of every dataset."""
+    rest = [c for c in manifest.columns if c != "dataset_name"]
+    newest = manifest.groupBy("dataset_name").agg(F.max_by(F.struct(*rest), "processed_at").alias("r"))
+    return newest.select("dataset_name", "r.*")
+
+
 def still_to_do(catalog: DataFrame, manifest: DataFrame) -> DataFrame:
     """Catalog rows (dataset, ...) without a metadata row; output without metadata counts
     as not done."""

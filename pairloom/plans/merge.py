@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.operators.dedup import deduplicate
 from pairloom.operators.joins import lookup_join
-from pairloom.operators.leakage import drop_leaked
+from pairloom.operators.leakage import drop_leaked, drop_near_leaked
 
 
 def finished_pairs(pairs: DataFrame, manifest: DataFrame, include_excluded: bool = False) -> DataFrame:
@@ -16,11 +18,24 @@ def finished_pairs(pairs: DataFrame, manifest: DataFrame, include_excluded: bool
     return lookup_join(pairs, names, "dataset", "listed_name", "left_semi")
 
 
-def merge_corpus(pairs: DataFrame, test: DataFrame | None = None, dedup: bool = True) -> DataFrame:
-    """Deduplicated and free of test sentences.  The test set is removed last, so a pair
-    it removes has still displaced later pairs with the same source or target."""
-    merged = deduplicate(pairs) if dedup else pairs
-    return merged if test is None else drop_leaked(merged, test)
+def merge_corpus(
+    pairs: DataFrame,
+    test: DataFrame | None = None,
+    dedup: bool = True,
+    near: float | None = None,
+    store: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> tuple[DataFrame, DataFrame]:
+    """(deduplicated, and free of test sentences as well).  The test set is removed last, so a
+    pair it removes has still displaced later pairs with the same source or target.  With
+    ``near``, pairs more similar to a test sentence than that go too.
+
+    ``store`` may write the deduplicated corpus once, for both results to read.
+    """
+    merged = store(deduplicate(pairs)) if dedup else pairs
+    if test is None:
+        return merged, merged
+    final = drop_leaked(merged, test)
+    return merged, final if near is None else drop_near_leaked(final, test, near)
 
 
 def included_datasets(pairs: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -32,7 +47,7 @@ def included_datasets(pairs: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def merge_metadata(
-    included: DataFrame, lang_pair: str, deduplicated: DataFrame, final: DataFrame
+    included: DataFrame, lang_pair: str, deduplicated: DataFrame, final: DataFrame, processed_at: Column
 ) -> DataFrame:
     """One row: the list of datasets (as long as the catalog), and rows before and after
     deduplication and after the removal of test sentences."""
@@ -48,4 +63,5 @@ def merge_metadata(
         "total_rows_before_dedup",
         deduplicated.agg(F.count(F.lit(1))).scalar().alias("total_rows_after_dedup"),
         final.agg(F.count(F.lit(1))).scalar().alias("rows_after_leakage"),
+        processed_at.alias("processed_at"),
     )

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings; a cluster sets its own sizes (executors, memory, shuffle partitions).
@@ -26,16 +33,33 @@ def build_session(app: str = "pairloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from the files.
+@functools.cache
+def _local_folder() -> str:
+    """The folder of a local session, which goes with it."""
+    folder = tempfile.mkdtemp(prefix="pairloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
 
-    The folder is the session's ``spark.checkpoint.dir``.  Only where that is unset
-    is ``fallback_dir`` used; there is no machine-local default.
+def staging_folder(spark: SparkSession, fallback_dir: str | None = None) -> str:
+    """A new folder that driver and executors all see.
+
+    It lies under ``spark.checkpoint.dir``; only where that is unset under ``fallback_dir``,
+    and without either only a local session may go on, with a folder of its own.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", fallback_dir)
-        if not folder:
+    base = spark.conf.get("spark.checkpoint.dir", None) or fallback_dir
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+        base = _local_folder()
+    return f"{base}/staging-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet to the shared folder and go on from the files.
+
+    Readers of it take only the columns they need, and a lost executor costs no recomputation.
+    """
+    path = f"{staging_folder(df.sparkSession, fallback_dir)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
