@@ -86,10 +86,16 @@ def src_table_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("src_table_csv", """
-SELECT replace(text, chr(10), ' ') AS src, lang AS tgt FROM documents""")
+SELECT replace(text, chr(10), ' ') AS src, lang AS tgt, unnest([true, false]) AS line_breaks FROM documents""")
 def src_table_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both ways of reading: a file as a whole, and in pieces."""
     folder = _staged_table(spark, sf_dir, ",", '"')
-    return tables.read_table(spark, folder, "Source Sentence", "Lang-Code", "csv").select("src", "tgt")
+    whole, pieces = (
+        tables.read_table(spark, folder, "Source Sentence", "Lang-Code", "csv", line_breaks=breaks)
+        .select("src", "tgt", F.lit(breaks).alias("line_breaks"))
+        for breaks in (True, False)
+    )
+    return whole.unionByName(pieces)
 
 
 @query("src_flat_column", "SELECT page_id AS position, url AS src, html AS tgt FROM pages")

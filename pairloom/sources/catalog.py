@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.model import POSITION_BITS, SPLIT_BITS, as_pairs, below
-from pairloom.sources.lines import read_aligned_folder, read_aligned_lines
+from pairloom.sources.alignment import alignment_report, require_aligned
+from pairloom.sources.lines import list_files, pick_files, read_aligned_lines, require_found
 from pairloom.sources.positions import numbered_rows
 from pairloom.sources.tables import read_dual, read_table, select_flat, select_nested, union_splits
 
@@ -36,9 +37,14 @@ class Entry:
     tgt_path: str = ""
     file_type: str = "tsv"
     strict: bool = True
+    legacy_null_strings: bool = False
+    line_breaks: bool = True
     filter_param: Mapping[str, object] = field(default_factory=dict)
 
 
+Named = tuple[int, str, Entry]  # rank, dataset, entry
+
+
 def catalog_table(spark: SparkSession, entries: Mapping[str, Sequence[str]]) -> DataFrame:
     """One row per kind with its dataset names in order: the input of ``enumerate_catalog``."""
     return spark.createDataFrame(
@@ -56,23 +62,69 @@ def enumerate_catalog(catalog: DataFrame, selected: Sequence[str]) -> DataFrame:
     )
 
 
-def read_entry(spark: SparkSession, entry: Entry, src_lang: str = "", tgt_lang: str = "") -> DataFrame:
-    """(position, src, tgt) of one dataset."""
+def located(spark: SparkSession, named: Sequence[Named], src_lang: str, tgt_lang: str) -> list[Named]:
+    """The entries with the file names of ``opus`` folders filled in: one job for all of them."""
+    folders = [(name, entry) for _, name, entry in named if entry.kind == "opus"]
+    if not folders:
+        return list(named)
+    listings = [
+        list_files(spark, entry.path).select(
+            F.lit(name).alias("name"), "file_name", F.lit(entry.name).alias("entry"),
+            F.lit(src_lang).alias("src_lang"), F.lit(tgt_lang).alias("tgt_lang"),
+        )
+        for name, entry in folders
+    ]
+    # Two or four values per entry of the catalog.
+    found = {r.dataset: r for r in pick_files(_union(listings), named="entry", by="name").collect()}
+    placed = []
+    for rank, name, entry in named:
+        if entry.kind == "opus":
+            row = found.get(name)
+            require_found(row, entry.name, src_lang, tgt_lang, entry.path)
+            entry = replace(entry, kind="local", strict=True,
+                            src_path=f"{entry.path}/{row.src_file}", tgt_path=f"{entry.path}/{row.tgt_file}")
+        placed.append((rank, name, entry))
+    return placed
+
+
+def check_alignment(spark: SparkSession, named: Sequence[Named]) -> None:
+    """Fail if a strict entry of two sides has sides of different length: one job for all of them."""
+    sides: dict[str, list[DataFrame]] = {"src": [], "tgt": []}
+    for _, name, entry in named:
+        if not entry.strict:
+            continue
+        if entry.kind in ("url", "local"):
+            read = spark.read.text
+        elif entry.kind == "hf" and entry.format == "dual_config":
+            read = spark.read.parquet
+        else:
+            continue
+        for side, path in (("src", entry.src_path), ("tgt", entry.tgt_path)):
+            sides[side].append(read(path).select(F.lit(name).alias("dataset")))
+    if sides["src"]:
+        require_aligned(alignment_report(_union(sides["src"]), _union(sides["tgt"])))
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def read_entry(spark: SparkSession, entry: Entry) -> DataFrame:
+    """(position, src, tgt) of one located and checked dataset: a plan, no job."""
     if entry.kind == "hf":
         return _read_hub_table(spark, entry)
-    if entry.kind == "opus":
-        return read_aligned_folder(spark, entry.path, entry.name, src_lang, tgt_lang)
     if entry.kind in ("url", "local"):
-        return read_aligned_lines(spark, entry.src_path, entry.tgt_path, entry.strict)
+        return read_aligned_lines(spark, entry.src_path, entry.tgt_path, strict=False)
     if entry.kind in ("table", "csv"):
         file_type = "csv" if entry.kind == "csv" else entry.file_type
-        return read_table(spark, entry.path, entry.src_col, entry.tgt_col, file_type)
+        return read_table(spark, entry.path, entry.src_col, entry.tgt_col, file_type,
+                          entry.legacy_null_strings, entry.line_breaks)
     raise ValueError(f"{entry.name}: unknown kind {entry.kind!r}, expected one of {KINDS}")
 
 
 def _read_hub_table(spark: SparkSession, entry: Entry) -> DataFrame:
     if entry.format == "dual_config":
-        return read_dual(spark, entry.src_path, entry.tgt_path, entry.column, entry.strict)
+        return read_dual(spark, entry.src_path, entry.tgt_path, entry.column, strict=False)
     if entry.format not in FORMATS:
         raise ValueError(f"{entry.name}: unknown format {entry.format!r}, expected one of {FORMATS}")
     if entry.format == "nested_translation":
@@ -102,7 +154,7 @@ def _read_hub_table(spark: SparkSession, entry: Entry) -> DataFrame:
     return picked.select("position", "src", "tgt")
 
 
-def named_entries(entries: Sequence[Entry]) -> list[tuple[int, str, Entry]]:
+def named_entries(entries: Sequence[Entry]) -> list[Named]:
     """(rank, dataset, entry): the rank is the place in the list; a name used before gets
     its rank appended, so that two entries never share their output."""
     seen: set[str] = set()
@@ -126,13 +178,12 @@ def read_catalog(
     """All datasets (but those to skip) in one table of pairs.
 
     The rank is the upper part of the pair ids, so a catalog that grows from run to run
-    grows at its end; skipped datasets keep their ranks.
+    grows at its end; skipped datasets keep their ranks.  Whatever the number of entries,
+    one job lists the folders and one checks the alignment; the rest is a plan.
     """
-    parts = [
-        as_pairs(read_entry(spark, entry, src_lang, tgt_lang), name, rank)
-        for rank, name, entry in named_entries(entries)
-        if name not in skip
-    ]
-    if not parts:
+    named = [n for n in named_entries(entries) if n[1] not in skip]
+    if not named:
         raise ValueError("the catalog has no entries to read")
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    named = located(spark, named, src_lang, tgt_lang)
+    check_alignment(spark, named)
+    return _union([as_pairs(read_entry(spark, entry), name, rank) for rank, name, entry in named])

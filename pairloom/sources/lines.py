@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from pairloom.functions.fixed_values import UNWANTED_ENDINGS
 from pairloom.sources.alignment import alignment_report, require_aligned, zip_sides
@@ -34,12 +34,16 @@ def file_role(file_name: Column, dataset: Column, src_lang: Column, tgt_lang: Co
     )
 
 
-def pick_files(listing: DataFrame) -> DataFrame:
+def pick_files(listing: DataFrame, named: str = "dataset", by: str = "dataset") -> DataFrame:
     """One row per dataset with its two files, from a listing (dataset, file_name,
-    src_lang, tgt_lang).  status is ok, missing or ambiguous."""
-    role = file_role(F.col("file_name"), F.col("dataset"), F.col("src_lang"), F.col("tgt_lang"))
+    src_lang, tgt_lang).  status is ok, missing or ambiguous.
+
+    ``named`` is the column whose value must occur in the file names, ``by`` the one that
+    tells datasets apart.
+    """
+    role = file_role(F.col("file_name"), F.col(named), F.col("src_lang"), F.col("tgt_lang"))
     of = lambda side: F.when(F.col("role") == side, F.col("file_name"))
-    picked = listing.withColumn("role", role).groupBy("dataset").agg(
+    picked = listing.withColumn("role", role).groupBy(F.col(by).alias("dataset")).agg(
         F.max(of("src")).alias("src_file"),
         F.max(of("tgt")).alias("tgt_file"),
         F.count(of("src")).alias("src_matches"),
@@ -68,7 +72,11 @@ def read_aligned_folder(
         F.lit(src_lang).alias("src_lang"), F.lit(tgt_lang).alias("tgt_lang"),
     )
     row = pick_files(listing).first()
+    require_found(row, dataset, src_lang, tgt_lang, folder)
+    return read_aligned_lines(spark, f"{folder}/{row.src_file}", f"{folder}/{row.tgt_file}")
+
+
+def require_found(row: Row | None, dataset: str, src_lang: str, tgt_lang: str, folder: str) -> None:
     if row is None or row.status != "ok":
         found = "no file" if row is None else f"{row.src_matches} source and {row.tgt_matches} target files"
         raise FileNotFoundError(f"{dataset} ({src_lang}-{tgt_lang}) in {folder}: {found}")
-    return read_aligned_lines(spark, f"{folder}/{row.src_file}", f"{folder}/{row.tgt_file}")

@@ -27,11 +27,13 @@ def read_table(
     tgt_col: str,
     file_type: str = "tsv",
     legacy_null_strings: bool = False,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """(position, src, tgt) of a delimited file with a header.
 
     tsv: no quoting; a row with too many fields is dropped, one with too few is kept with
-    nulls.  csv: quoted fields, which may span lines; a row with too many fields fails.
+    nulls.  csv: quoted fields, which may span lines; a row with too many fields fails.  A csv
+    file known to have no line breaks inside fields splits with ``line_breaks=False``.
     Null words become null, or with ``legacy_null_strings`` the texts "nan" and, for a field
     the row does not have, "None".
     """
@@ -41,7 +43,10 @@ def read_table(
     for name in (src_col, tgt_col):
         if name not in names:
             raise ValueError(f"{path} has no column {name!r}")
-    rows = _read_tsv(spark, path, names) if file_type == "tsv" else _read_csv(spark, path, names)
+    if file_type == "tsv":
+        rows = _read_tsv(spark, path, names)
+    else:
+        rows = (_read_csv if line_breaks else _read_csv_lines)(spark, path, names)
     texts = {
         "src": _null_words(F.col("fields")[names.index(src_col)], legacy_null_strings),
         "tgt": _null_words(F.col("fields")[names.index(tgt_col)], legacy_null_strings),
@@ -55,51 +60,78 @@ def _null_words(value: Column, legacy: bool) -> Column:
     return F.when(~value.isin(*NULL_WORDS), value)
 
 
-def _read_tsv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """Without quoting a row is a line, so the line reader gives rows and positions, and
-    splitting shows how many fields there really are."""
+def _numbered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows with their ``position`` among the rows of all files; ``_first`` is the id of the
+    first row of the block."""
+    blocks = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_read_id").alias("_first"))
+    placed = _with_offsets(rows, blocks, keys)
+    return placed.withColumn("position", F.col("_before") + F.col("_read_id") - F.col("_first"))
+
+
+def _data_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(position, value) of the lines that are neither empty nor the header of a file."""
     lines = spark.read.text(path).select(
-        F.split("value", "\t").alias("fields"),
-        F.col("value"),
+        "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_read_id"),
     )
-    blocks = lines.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_read_id").alias("_first"))
-    placed = _with_offsets(lines, blocks, ["_file", "_block"])
-    line_no = F.col("_before") + F.col("_read_id") - F.col("_first")
-    good = (F.size("fields") <= len(names)) & (F.col("value") != "")
     is_header = (F.col("_block") == 0) & (F.col("_read_id") == F.col("_first"))
+    return _numbered(lines, ["_file", "_block"]).where((F.col("value") != "") & ~is_header).select("position", "value")
+
+
+def _read_tsv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Without quoting a row is a line, so the line reader gives rows and positions, and
+    splitting shows how many fields there really are."""
+    fields = _data_lines(spark, path).select("position", F.split("value", "\t").alias("fields"))
     padded = F.transform(
         F.sequence(F.lit(0), F.lit(len(names) - 1)), lambda i: F.get("fields", i)
     )
-    return placed.where(good & ~is_header).select(line_no.alias("position"), padded.alias("fields"))
+    return fields.where(F.size("fields") <= len(names)).select("position", padded.alias("fields"))
 
 
-def _read_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """Quoted fields may hold line breaks, so a file is one unit of reading."""
-    schema = T.StructType(
+def _csv_schema(names: list[str]) -> T.StructType:
+    return T.StructType(
         [T.StructField(f"_{i}", T.StringType()) for i in range(len(names))] + [T.StructField(BAD, T.StringType())]
     )
-    reader = spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
-    rows = reader.option("multiLine", True).option("enforceSchema", True).option("columnNameOfCorruptRecord", BAD).csv(path)
-    # Rows that are too short are legal (their fields are null); too long ones are not.
-    quoted_out = F.regexp_replace(F.col(BAD), F.lit(r'(?s)"(?:[^"]|"")*"'), F.lit(""))
+
+
+def _csv_fields(row: str, names: list[str]) -> Column:
+    """The fields of a parsed row, whose columns are behind the prefix ``row``.  Rows that are
+    too short are legal (their fields are null); too long ones are not."""
+    bad = F.col(f"{row}{BAD}")
+    quoted_out = F.regexp_replace(bad, F.lit(r'(?s)"(?:[^"]|"")*"'), F.lit(""))
     too_long = F.size(F.split(quoted_out, ",")) > len(names)
-    fields = F.array(*[F.col(f"_{i}") for i in range(len(names))])
-    checked = F.when(
-        F.col(BAD).isNotNull() & too_long,
-        F.raise_error(F.concat(F.lit("row with too many fields: "), F.col(BAD))).cast("array<string>"),
-    ).otherwise(fields)
+    return F.when(
+        bad.isNotNull() & too_long,
+        F.raise_error(F.concat(F.lit("row with too many fields: "), bad)).cast("array<string>"),
+    ).otherwise(F.array(*[F.col(f"{row}_{i}") for i in range(len(names))]))
+
+
+def _read_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Quoted fields may hold line breaks, so a file is one unit of reading."""
+    reader = spark.read.schema(_csv_schema(names)).option("header", True).option("quote", '"').option("escape", '"')
+    rows = reader.option("multiLine", True).option("enforceSchema", True).option("columnNameOfCorruptRecord", BAD).csv(path)
     read = rows.select(
-        checked.alias("fields"),
+        _csv_fields("", names).alias("fields"),
         F.col("_metadata.file_path").alias("_file"),
         F.monotonically_increasing_id().alias("_read_id"),
     )
-    files = read.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"), F.min("_read_id").alias("_first"))
-    placed = _with_offsets(read, files, ["_file"])
-    position = F.col("_before") + F.col("_read_id") - F.col("_first")
-    return placed.select(position.alias("position"), "fields")
+    return _numbered(read, ["_file"]).select("position", "fields")
+
+
+def _read_csv_lines(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """No field holds a line break, so a file is read in as many pieces as it has blocks.  A
+    line in which a quote stays open breaks that promise and fails."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    value = F.when(
+        quotes % 2 == 1, F.raise_error(F.concat(F.lit("quote left open in line: "), F.col("value"))).cast("string")
+    ).otherwise(F.col("value"))
+    options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": BAD}
+    schema = ", ".join(f"{name} string" for name in _csv_schema(names).names)
+    parsed = F.from_csv(value, schema, options)
+    rows = _data_lines(spark, path).select("position", parsed.alias("row"))
+    return rows.select("position", _csv_fields("row.", names).alias("fields"))
 
 
 def select_flat(

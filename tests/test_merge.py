@@ -11,7 +11,7 @@ from pairloom.operators.tagging import tag_languages, union_corpora
 from pairloom.plans import merge
 
 
-def reference_dedup(rows):
+def brute_force_dedup(rows):
     out = [(i, s, t) for i, (s, t) in enumerate(rows) if s is None or t is None or s != t]
     for key in (lambda r: (r[1], r[2]), lambda r: r[1], lambda r: r[2]):
         seen, kept = set(), []
@@ -45,7 +45,7 @@ def test_source_then_target_is_sequential(pairs_of):
 def test_deduplicate_against_brute_force(pairs_of, partitions):
     rows = random_rows(600)
     df = pairs_of(rows).repartition(partitions)
-    want = reference_dedup(rows)
+    want = brute_force_dedup(rows)
     got = sorted(((r.pair_id, r.src, r.tgt) for r in dedup.deduplicate(df).collect()))
     assert got == sorted(want)
     counts = {r.step: r.rows for r in dedup.dedup_counts(df).collect()}
@@ -122,3 +122,20 @@ def test_union_of_corpora_loses_no_column(pairs_of):
     rows = {r.src_lang: r for r in both.collect()}
     assert rows["eng_Latn"].sentence_amh_Ethi == "b" and rows["eng_Latn"].sentence_swa_Latn is None
     assert rows["swa_Latn"].sentence_eng_Latn == "b"
+
+
+def test_counts_of_steps_follow_the_steps(pairs_of):
+    rows = [("a", "a"), ("a", "a"), ("a", "b"), ("a", "b"), ("a", None), ("c", "b"), (None, "b"), (None, None), (None, None), ("d", "d"), ("e", None)]
+    df = pairs_of(rows)
+    kept = df.transform(dedup.drop_identical)
+    want = [df.count(), kept.count(), dedup.first_per_pair(kept).count(), dedup.first_per_source(kept).count(), dedup.deduplicate(df).count()]
+    assert [r.rows for r in dedup.dedup_counts(df).orderBy("step_no").collect()] == want
+    assert [r.rows for r in dedup.dedup_counts(df.where("false")).collect()] == [0] * 5
+
+
+def test_large_test_sets_leak_nothing_either(pairs_of, spark):
+    test = spark.createDataFrame([("s1", "t5"), (None, "t7"), ("unseen", None)], "src string, tgt string")
+    rows = [(f"s{i}", f"t{i}") for i in range(9)] + [(None, "x"), ("y", None)]
+    small = texts(leakage.drop_leaked(pairs_of(rows), test))
+    assert small == texts(leakage.drop_leaked(pairs_of(rows), test, limit=0))
+    assert len(small) == 6

@@ -9,7 +9,9 @@ from checks.views import pairs
 from pairloom.model import global_id
 from pairloom.operators.joins import measured_bytes
 from pairloom.operators.quality import train_quality
+from pairloom.operators.language import LanguageProfile
 from pairloom.plans import corpus, manifest, stages
+from pairloom.plans.sampled import Corpus, sample_merge
 from pairloom.plans.stages import COUNTS, Stage
 from pairloom.sinks import files
 from pairloom.sources.catalog import Entry, named_entries
@@ -168,3 +170,54 @@ def test_ids_that_overflow_are_errors(spark):
 def test_maps_are_measured(spark):
     df = spark.createDataFrame([({"k": "v" * 100_000},)] * 10, "m map<string, string>")
     assert measured_bytes(df) > 1_000_000
+
+
+def test_options_of_a_run(spark, tmp_path):
+    def table(name, rows):
+        path = str(tmp_path / name)
+        spark.createDataFrame(rows, "src string, tgt string").coalesce(1).write.parquet(path)
+        return Entry(name, path)
+
+    entries = [
+        table("a", [("one two three four five", "first text here"), ("other words", "second text here")]),
+        table("b", [("third line", "third text here"), ("fourth line", "fourth text here")]),
+        table("c", [("fifth line", "fifth text here")]),
+    ]
+    detector = LanguageProfile.train(
+        spark.createDataFrame([("en", "one two three line words"), ("am", "text here first second")], "lang string, text string")
+    ).detector(spark.range(1))
+    out = corpus.Output(str(tmp_path / "out"), "en", "am")
+    summary = {r.dataset: r for r in corpus.process_datasets(spark, entries, out, [], cap=3, report=(detector, detector)).collect()}
+    # The cap is met inside the second dataset; the third is finished without a row.
+    assert [summary[d].original for d in ("a", "b", "c", "TOTAL")] == [2, 1, 0, 3] and not summary["a"].cached
+    report = spark.read.json(f"{out.root}/languages/en-am").collect()
+    assert {(r.side, r.dataset) for r in report} == {(s, d) for s in ("src", "tgt") for d in "ab"}
+    again = {r.dataset: r.cached for r in corpus.process_datasets(spark, entries, out, []).collect()}
+    assert again == {"a": True, "b": True, "c": True, "TOTAL": None}
+
+    test_set = spark.createDataFrame([("one two three four six", "unseen")], "src string, tgt string")
+    assert corpus.merge_datasets(spark, out, test_set).first().rows_after_leakage == 3
+    near = corpus.merge_datasets(spark, out, test_set, near=0.6).first()
+    assert near.rows_after_leakage == 2 and near.processed_at is not None
+    assert corpus.merge_datasets(spark, out, excluded=["a"], include_excluded=True).first().total_rows_before_dedup == 3
+    # No quality was stored, so a bound on it sets all datasets aside.
+    assert corpus.merge_datasets(spark, out, least_quality=0.1).first().total_rows_before_dedup == 0
+
+
+def test_sample_merge(spark, tmp_path):
+    def table(name, n):
+        path = str(tmp_path / name)
+        spark.createDataFrame([(f"{name} s{i}", f"{name} t{i}") for i in range(n)], "src string, tgt string").write.parquet(path)
+        return Entry(name, path)
+
+    entries = [table("x", 20), table("y", 30), table("z", 5)]
+    corpora = {"x": Corpus("en", "am", 0.5), "y": Corpus("am", "fr", 7)}
+    rows = sample_merge(spark, entries, corpora, "seed", str(tmp_path / "out")).collect()
+    assert len(rows) == 17 and len({r.pair_id for r in rows}) == 17
+    for r in rows:
+        if r.src_lang == "en":
+            assert r.sentence_en.startswith("x s") and r.sentence_am.startswith("x t") and r.sentence_fr is None
+        else:
+            assert r.sentence_am.startswith("y s") and r.sentence_fr.startswith("y t") and r.sentence_en is None
+    with pytest.raises(ValueError, match="no catalog entry"):
+        sample_merge(spark, entries, {"q": Corpus("en", "am")}, "seed", str(tmp_path / "out"))

@@ -57,7 +57,7 @@ def test_token_ratio_and_length_boundaries(pairs_of):
     assert ids(rules.drop_max_tokens(df)) == [0, 1, 2, 3, 4]
 
 
-def reference_filter(rows, options):
+def brute_force_filter(rows, options):
     """The rules, one row after the other."""
     seen, out = set(), []
     for pair_id, src, tgt in rows:
@@ -88,7 +88,7 @@ def test_rule_filter_against_brute_force(pairs_of, options):
         return None if None in picked else " ".join(picked)
     rows = [(sentence(), sentence()) for _ in range(1500)]
     got = [(r.pair_id, r.src, r.tgt) for r in rules.rule_filter(pairs_of(rows), options, scope=()).collect()]
-    want = reference_filter([(i, *r) for i, r in enumerate(rows)], options)
+    want = brute_force_filter([(i, *r) for i, r in enumerate(rows)], options)
     assert len(want) > 20
     assert sorted(got) == sorted(want)
 

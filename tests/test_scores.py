@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import SF_DIR, ids, texts
 from checks.views import table
 from pairloom.functions import grams
+from pairloom.functions.fixed_values import ENCODER_FAMILIES
 from pairloom.functions.vectors import cosine
 from pairloom.operators import language, quality, semantic
 from pairloom.operators.language import LanguageProfile, Side
@@ -162,3 +163,27 @@ def test_three_ways_to_attach_a_score(spark, pairs_of):
     both = attach_score(attach_score(df, "stored", stored), "native", F.length("src").cast("double"))
     rows = attach_score(both, "batched", lengths).orderBy("pair_id").collect()
     assert [(r.stored, r.native, r.batched) for r in rows] == [(5.0, 2.0, 5.0), (None, 1.0, 2.0)]
+
+
+def test_missing_and_repeated_vector_keys(spark):
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0])], "vector_id bigint, vector array<double>")
+    pairs = spark.createDataFrame([(1, 2), (1, 2), (1, 3), (1, 9), (None, 2)], "s bigint, t bigint")
+    kept = lambda missing: sorted(
+        map(tuple, semantic.semantic_filter_by_table(pairs, vectors, "s", "t", 0.5, missing).collect()), key=repr)
+    assert kept("drop") == [(1, 2), (1, 2)]
+    assert kept("keep") == [(1, 2), (1, 2), (1, 9), (None, 2)]
+    with pytest.raises(Exception, match="no vector for one of: 1, 9|no vector for one of: 2"):
+        kept("error")
+    assert tuple(semantic.missing_vectors(pairs, vectors, "s", "t").first()) == (5, 1, 1, 2)
+
+
+def test_rows_are_scored_by_their_own_family(spark):
+    rows = spark.createDataFrame([("en", "fr", "ab", "ab"), ("en", "sw", "ab", "ab"), ("en", "qq", "ab", "ab")],
+                                 "src_lang string, tgt_lang string, src string, tgt string")
+    routed = semantic.route_encoders(rows)
+    first, third = (list(ENCODER_FAMILIES)[i] for i in (0, 2))
+    seen = lambda n: lambda s, t: (F.length(s) + F.length(t) + n).cast("double")
+    scored = routed.withColumn("score", semantic.routed_similarity(routed, {first: seen(10), third: seen(20)}))
+    assert [r.score for r in scored.orderBy("tgt_lang").collect()] == [14.0, None, 24.0]
+    with pytest.raises(ValueError, match="unknown encoder"):
+        semantic.routed_similarity(routed, {"none": seen(1)})

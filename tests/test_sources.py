@@ -156,3 +156,53 @@ def test_read_catalog_of_every_kind(spark, tmp_path):
     for bad in (Entry("x", kind="ftp"), Entry("x", hub, format="other")):
         with pytest.raises(ValueError, match="unknown"):
             catalog.read_catalog(spark, [bad])
+
+
+def test_jobs_do_not_grow_with_the_catalog(spark, tmp_path):
+    import os
+
+    def entries(n):
+        found = []
+        for i in range(n):
+            folder = tmp_path / f"{n}-{i}"
+            os.mkdir(folder)
+            for code in ("en", "am"):
+                (folder / f"set{i}.{code}").write_text("".join(f"{code} {i} {k}\n" for k in range(3)), encoding="utf-8")
+            found.append(catalog.Entry(f"set{i}", str(folder), kind="opus") if i % 2 else catalog.Entry(
+                f"set{i}", kind="local", src_path=f"{folder}/set{i}.en", tgt_path=f"{folder}/set{i}.am"))
+        return found
+
+    def jobs(n):
+        listed = entries(n)
+        context = spark.sparkContext
+        context.setJobGroup(f"catalog-{n}", "")
+        frame = catalog.read_catalog(spark, listed, "en", "am")
+        used = len(context.statusTracker().getJobIdsForGroup(f"catalog-{n}"))
+        context.setJobGroup("", "")
+        return used, frame
+
+    few, _ = jobs(3)
+    many, frame = jobs(9)
+    assert few == many
+    assert frame.count() == 27 and frame.where("src is null or tgt is null").count() == 0
+
+
+def test_csv_in_pieces(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('a,b\n' + "".join(f'"x, ""{i}""",y{i}\n' for i in range(2000)) + "\nshort\n", encoding="utf-8")
+    whole = tables.read_table(spark, str(path), "a", "b", "csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        pieces = tables.read_table(spark, str(path), "a", "b", "csv", line_breaks=False)
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 1
+        rows = [(r.src, r.tgt) for r in pieces.orderBy("position").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert rows == [(r.src, r.tgt) for r in whole.orderBy("position").collect()] and len(rows) == 2001
+    assert rows[7] == ('x, "7"', "y7") and rows[-1] == ("short", None)
+    path.write_text('a,b\n"open,y\n', encoding="utf-8")
+    with pytest.raises(Exception, match="quote left open"):
+        tables.read_table(spark, str(path), "a", "b", "csv", line_breaks=False).collect()
+    path.write_text('a,b\nx,y,z\n', encoding="utf-8")
+    with pytest.raises(Exception, match="too many fields"):
+        tables.read_table(spark, str(path), "a", "b", "csv", line_breaks=False).collect()
