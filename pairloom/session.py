@@ -52,7 +52,7 @@ def staging_folder(spark: SparkSession, fallback_dir: str | None = None) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_folder()
-    return f"{base}/staging-{uuid.uuid4().hex}"
+    return f"{base}/staging_{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
