@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import functools
-import re
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+# ``stored`` cuts lineage: later steps read files, so a lost executor costs no recomputation,
+# and ids that depend on partitioning keep their values.
+from pairloom.session import cut_lineage as stored, staging_folder as shared_folder  # noqa: F401
 from pairloom.sources.spread import spread_small_input
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -34,38 +31,6 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_LOWER)
 
 
-@functools.cache
-def _local_folder() -> str:
-    """The folder of a local session, which goes with it."""
-    folder = tempfile.mkdtemp(prefix="pairloom-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which driver and executors all see.
-
-    Where that setting is missing, only a local session may go on, with a folder of its own.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_folder()
-    return f"{base}/{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once as Parquet to shared storage and read back.
-
-    Later steps read the files, so a lost executor costs no recomputation, and ids that
-    depend on partitioning keep their values.
-    """
-    path = f"{shared_folder(df.sparkSession)}/table"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def stored_by_key(df: DataFrame, key: str) -> DataFrame:
     """``df`` written once to shared storage in buckets of ``key``: a later join on ``key`` reads
     them where they lie, without shuffling this side."""
