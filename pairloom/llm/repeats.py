@@ -12,7 +12,9 @@ documents.  The repeated strings are found by sorting suffixes in shards (``suff
    region, or with a gram that stands twice in one.
 4. Those regions, each variant once, are dealt to shards by anchor, and a shard's suffixes are sorted:
    starts that share ``DEPTH`` bytes with a neighbour are repeated.
-5. Repeated starts are gathered per document, merged and cut out.
+5. An anchor whose variants make more than ``SHARD_BYTES`` is not sorted in one task: each of its starts
+   becomes a row with a 128-bit hash of its ``DEPTH`` bytes, and hashes that stand at two places are repeated.
+6. Repeated starts are gathered per document, merged and cut out.
 
 Null texts count as empty.  Texts under ``DEPTH`` bytes are never touched.  Repeated rows are copies
 of each other like any equal texts, whatever their ids.  Positions are bytes of UTF-8.
@@ -35,6 +37,9 @@ DEPTH = 200
 GRAM = 40
 PIECE = 1 << 20
 SHARD_BYTES = 3 << 20
+START_ROWS = 100_000
+
+_LANES = np.random.default_rng(20240301).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -86,6 +91,46 @@ def regions(data: bytes, depth: int = DEPTH, gram: int = GRAM, check_twice: bool
     return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
 
+def window_keys(data: bytes, depth: int) -> np.ndarray:
+    """A 128-bit hash of every run of ``depth`` bytes, shape (n, 2): hashes of 1, 2, 4... bytes, mixed and joined."""
+    b = np.frombuffer(data, np.uint8)
+    n = max(0, len(b) - depth + 1)
+    keys = np.zeros((n, 2), np.uint64)
+    for lane in range(2):
+        level, width, at = _LANES[lane][b], 1, 0
+        key = np.full(n, depth, np.uint64)
+        while n and width <= depth:
+            if depth & width:
+                key = words.mix(key * words._MUL + level[at:at + n])
+                at += width
+            level = words.mix(level[:-width] * words._MUL + level[width:])
+            width *= 2
+        keys[:, lane] = key
+    return keys
+
+
+def runs(rows: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[list[int], list[int], list[int]]]:
+    """Documents, first and last starts of the runs in a stream of (document, start) in order; repeats count once."""
+    last_doc, first, last = None, 0, 0
+    for docs, starts in rows:
+        out: tuple[list[int], ...] = ([], [], [])
+        edges = np.append(True, (docs[1:] != docs[:-1]) | (np.diff(starts) > 1))
+        heads = np.flatnonzero(edges)
+        for h, t in zip(heads.tolist(), np.append(heads[1:], len(docs)).tolist(), strict=True):
+            doc, low, high = int(docs[h]), int(starts[h]), int(starts[t - 1])
+            if doc == last_doc and low <= last + 1:
+                last = high
+                continue
+            if last_doc is not None:
+                for column, v in zip(out, (last_doc, first, last), strict=True):
+                    column.append(v)
+            last_doc, first, last = doc, low, high
+        if out[0]:
+            yield out
+    if last_doc is not None:
+        yield [last_doc], [first], [last]
+
+
 def merged_spans(ranges: list[tuple[int, int]], depth: int) -> list[tuple[int, int]]:
     """Bytes covered by the strings that start in the given ranges (both ends included)."""
     spans: list[tuple[int, int]] = []
@@ -145,16 +190,28 @@ def repeated_spans(docs: DataFrame, doc_id: str, text: str, depth: int = DEPTH,
         "open OR any_again").select("anchor", "open")
     contents = contents.drop("twice").join(anchors, "anchor").where("open OR again")
     chosen = stored(found.join(contents, ["anchor", "content"]).select(
-        "doc_no", "place", "first", "last", "again", "open", (at == F.col("one")).alias("is_one")).where(
+        "doc_no", "place", "first", "last", "anchor", "again", "open", (at == F.col("one")).alias("is_one")).where(
         "again OR (open AND is_one)"))
 
     # The regions to sort, cut from their texts by number.
     to_sort = chosen.where("open AND is_one").distinct()
-    total = to_sort.agg(F.sum(F.col("last") - F.col("first") + depth)).first()[0] or 0
+    size = F.sum(F.col("last") - F.col("first") + depth)
+    total = to_sort.agg(size).first()[0] or 0
+    # At most total / SHARD_BYTES anchors.
+    crowded = stored(chosen.where("open AND is_one").groupBy("anchor").agg(size.alias("size")).where(
+        F.col("size") > SHARD_BYTES).select("anchor", F.lit(True).alias("crowded")))
+    any_crowded = not crowded.isEmpty()
+    if any_crowded:
+        to_sort = lookup_join(to_sort, crowded, "anchor", "anchor", "left")
+    else:
+        to_sort = to_sort.withColumn("crowded", F.lit(None).cast("boolean"))
+    place = F.when(F.col("again"), -1 - F.col("place")).otherwise(F.col("place"))
     by_text = stored(to_sort.groupBy("doc_no").agg(
-        F.collect_list(F.when(F.col("again"), -1 - F.col("place")).otherwise(F.col("place"))).alias("places")).join(
+        F.collect_list(F.when(F.col("crowded").isNull(), place)).alias("places"),
+        F.collect_list(F.when(F.col("crowded"), place)).alias("crowded")).join(
         texts.select("doc_no", "text_key"), "doc_no"))
-    carried = lookup_join(once.select("text_key", "bytes"), by_text, "text_key", "text_key", "inner")
+    carried = lookup_join(once.select("text_key", "bytes"), by_text.where(F.size("places") > 0).drop("crowded"),
+                          "text_key", "text_key", "inner")
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "doc_no", "first", "again"]
@@ -199,8 +256,52 @@ def repeated_spans(docs: DataFrame, doc_id: str, text: str, depth: int = DEPTH,
                         column.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], ["doc_no", "first", "last"])
 
+    def cut_starts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            rows, size = [], 0
+            for number, data, listed in zip(*batch.columns, strict=True):
+                data, places = data.as_py(), np.array(listed.as_py(), np.int64)
+                first, last, *_ = regions(data, depth, gram, check_twice=False)
+                for place in places.tolist():
+                    again, place = place < 0, (-1 - place if place < 0 else place)
+                    a, b = int(first[place]), int(last[place])
+                    for low in range(a, b + 1, START_ROWS):
+                        high = min(b + 1, low + START_ROWS)
+                        n = high - low
+                        rows.append((np.full(n, number.as_py(), np.int64), np.arange(low, high), np.full(n, again),
+                                     window_keys(data[low:high - 1 + depth], depth)))
+                        size += n
+                        if size >= START_ROWS:
+                            yield start_batch(rows)
+                            rows, size = [], 0
+            if rows:
+                yield start_batch(rows)
+
+    def start_batch(rows: list[tuple]) -> pa.RecordBatch:
+        docs_, starts, again, keys = (np.concatenate(c) for c in zip(*rows, strict=True))
+        keys = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(keys), [None, pa.py_buffer(np.ascontiguousarray(keys))])
+        return pa.RecordBatch.from_arrays([pa.array(docs_), pa.array(starts), pa.array(again), keys.cast(pa.binary())],
+                                          ["doc_no", "start", "again", "key"])
+
+    def join_runs(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in runs((b.column(0).to_numpy(), b.column(1).to_numpy()) for b in parts if b.num_rows):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["doc_no", "first", "last"])
+
     shards = cut_regions.repartition(parts_for(total, SHARD_BYTES), "anchor")
-    ranges = shards.mapInArrow(sort, "doc_no bigint, first bigint, last bigint").union(
+    ranges = shards.mapInArrow(sort, "doc_no bigint, first bigint, last bigint")
+    if any_crowded:
+        carried = lookup_join(once.select("text_key", "bytes"), by_text.where(F.size("crowded") > 0).drop("places"),
+                              "text_key", "text_key", "inner")
+        starts = stored(carried.select("doc_no", "bytes", "crowded").mapInArrow(
+            cut_starts, "doc_no bigint, start bigint, again boolean, key binary"))
+        # Two places differ in document or start; a row that repeats id and text gives the same place again.
+        keys = stored(starts.groupBy("key").agg(*(f(c).alias(f"{f.__name__}_{c}") for c in ("doc_no", "start") for f in (F.min, F.max))).where(
+            "min_doc_no != max_doc_no OR min_start != max_start").select("key"))
+        # A key may stand in any number of rows.
+        hits = lookup_join(starts.where("NOT again").drop("again"), keys, "key", "key", "left_semi")
+        ranges = ranges.union(hits.select("doc_no", "start").repartition("doc_no").sortWithinPartitions(
+            "doc_no", "start").mapInArrow(join_runs, "doc_no bigint, first bigint, last bigint"))
+    ranges = ranges.union(
         chosen.where("again").select("doc_no", "first", "last")).union(
         texts.where("copies > 1").select("doc_no", F.lit(0).cast("bigint"), F.col("size") - depth))
 

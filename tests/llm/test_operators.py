@@ -283,6 +283,44 @@ def test_repeats_at_small_depth(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == plain_removal([t.encode() for t in texts], 20)
 
 
+def test_no_task_sorts_all_surroundings_of_a_passage(spark, monkeypatch):
+    from pairloom.llm import repeats
+    limit, sort = 30_000, repeats.repeated_starts
+
+    def bounded(shard, depth):
+        assert sum(map(len, shard)) <= 5 * limit
+        return sort(shard, depth)
+
+    monkeypatch.setattr(repeats, "SHARD_BYTES", limit)
+    monkeypatch.setattr(repeats, "repeated_starts", bounded)
+    rnd = random.Random(3)
+    word = lambda k: "".join(rnd.choices("abcdefgh ", k=k))
+    passage, ends = word(500), [word(150) for _ in range(5)]
+    texts = [word(250) + passage + (rnd.choice(ends) if i % 3 else "") + word(250) for i in range(1200)]
+    texts += [texts[0], passage * 2, "é" * 300, texts[1][300:]]
+    rows = list(enumerate(texts)) + [(5, texts[5])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    want = Counter((i, *r) for (i, _), r in zip(rows, plain_removal([t.encode() for _, t in rows], 200), strict=True))
+    assert want == Counter((r.doc_id, r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest())
+                           for r in repeats.remove_repeats(df).collect())
+
+
+def test_window_keys_and_runs():
+    from pairloom.llm import repeats
+    rnd = random.Random(4)
+    for depth in (1, 2, 3, 20, 200):
+        data = bytes(rnd.choices(b"ab", k=300 + depth))
+        keys = [tuple(k) for k in repeats.window_keys(data, depth).tolist()]
+        strings = [data[i:i + depth] for i in range(len(data) - depth + 1)]
+        assert len(keys) == len(strings) and len(set(keys)) == len(set(strings)) == len(set(zip(keys, strings, strict=True)))
+    assert repeats.window_keys(b"ab", 3).shape == (0, 2)
+    places = [(1, 3), (1, 4), (1, 4), (1, 5), (1, 9), (2, 10), (2, 11), (3, 12)]
+    for size in range(1, 9):
+        parts = [np.array(places[i:i + size]).T for i in range(0, 8, size)]
+        got = [r for block in repeats.runs((d, s) for d, s in parts) for r in zip(*block, strict=True)]
+        assert got == [(1, 3, 5), (1, 9, 9), (2, 10, 11), (3, 12, 12)]
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_suffix_sort(monkeypatch, small):
     from pairloom.llm import suffix_sort
