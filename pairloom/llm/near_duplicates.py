@@ -40,7 +40,10 @@ TOLERANCE = 1e-6
 VALUES, ROWS = 128, 4
 BANDS = VALUES // ROWS
 STEPS = (8, 16, 32, 64, 128)
+# Rows compared at once.  Up to MANY blocks are that small; larger groups have larger blocks, since
+# every row is sent once per block of its group.
 BUCKET_BLOCK, CLUSTER_BLOCK = 1024, 256
+MANY, BLOCK_ROWS, BLOCK_BYTES = 16, 8192, 32 << 20
 
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
@@ -117,8 +120,9 @@ class Forest:
             first = np.unique(i, return_index=True)[1]
             for x, y in zip(i[first].tolist(), j[first].tolist(), strict=True):
                 self.join(x, y)
-            roots = np.array([self.root(x) for x in range(len(self.up))])
-            apart = roots[i] != roots[j]
+            nodes = np.unique(np.concatenate([i, j]))
+            roots = np.array([self.root(x) for x in nodes.tolist()])
+            apart = roots[np.searchsorted(nodes, i)] != roots[np.searchsorted(nodes, j)]
             i, j = i[apart], j[apart]
 
 
@@ -142,10 +146,22 @@ def _side_blocks(rows: list[tuple], low: int, high: int) -> tuple[list[int], lis
     return (a, a) if low == high else (a, [k for k, r in enumerate(rows) if r[0] == high])
 
 
-def in_block_pairs(members: DataFrame, key: str, size: Column, node: str, block_size: int, carry: list[str]) -> DataFrame:
+def tiles(a: list[int], b: list[int], size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pieces of two sides such that every pair meets in one; a side with itself in one order only."""
+    for x in range(0, len(a), size):
+        for y in range(x if a is b else 0, len(b), size):
+            yield np.array(a[x:x + size], np.int64), np.array(b[y:y + size], np.int64)
+
+
+def block_count(size: Column, size_bytes: Column, block_size: int) -> Column:
+    """In how many blocks a group of ``size`` members goes."""
+    small = F.least(F.ceil(size / block_size), F.lit(MANY))
+    return F.least(size, F.greatest(small, F.ceil(size / BLOCK_ROWS), F.ceil(size_bytes / BLOCK_BYTES), F.lit(1))).cast("int")
+
+
+def in_block_pairs(members: DataFrame, key: str, blocks: Column, node: str, carry: list[str]) -> DataFrame:
     """Rows (key, low, high, block, node, *carry), sorted, such that every two members of a key
-    meet in exactly one (key, low, high).  ``size`` is the number of members of the key."""
-    blocks = F.ceil(size / block_size).cast("int")
+    meet in exactly one (key, low, high).  ``blocks`` is the number of blocks of the key."""
     block = F.pmod(F.xxhash64(node), blocks).cast("int")
     at = members.withColumn("_blocks", blocks).withColumn("block", block)
     meets = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
@@ -191,17 +207,18 @@ def candidate_edges(classes: DataFrame, threshold: float, tolerance: float) -> D
     sizes = stored(sizes.groupBy("n", "who").agg(F.min("bucket").alias("bucket")).select("bucket", "n"))
     members = stored(banded.join(sizes, "bucket"))
     members = members.join(classes.select("class_no", "sign"), "class_no")
-    blocks = in_block_pairs(members, "bucket", F.col("n"), "class_no", BUCKET_BLOCK, ["sign"])
+    blocks = in_block_pairs(members, "bucket", block_count(F.col("n"), F.col("n") * 2 * VALUES, BUCKET_BLOCK), "class_no", ["sign"])
 
     def connect(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out_a, out_b = [], []
         for (_, low, high), rows in groups_of(parts, 3):
             a, b = _side_blocks(rows, low, high)
             signs = np.frombuffer(b"".join(r[2] for r in rows), "<u2").reshape(-1, VALUES)
-            i, j = surviving(signs[a], signs[b], threshold, tolerance)
-            i, j = np.array(a)[i], np.array(b)[j]
             forest = Forest(len(rows))
-            forest.add(i[i != j], j[i != j])
+            for x, y in tiles(a, b, BUCKET_BLOCK):
+                i, j = surviving(signs[x], signs[y], threshold, tolerance)
+                i, j = x[i], y[j]
+                forest.add(i[i != j], j[i != j])
             for x in range(len(rows)):
                 root = forest.root(x)
                 if root != x:
@@ -245,9 +262,11 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray], i: np.ndarra
 def verified_links(members: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     """Per class and pair of blocks: the documents linked to it, and a class it is connected with.
 
-    ``members`` has cluster, n, class_no, copies, sign and shingles (sorted 64-bit hashes).
+    ``members`` has cluster, n, n_bytes (of the cluster's sets, about), class_no, copies, sign and
+    shingles (sorted 64-bit hashes).
     """
-    blocks = in_block_pairs(members, "cluster", F.col("n"), "class_no", CLUSTER_BLOCK, ["copies", "sign", "shingles"])
+    blocks = in_block_pairs(members, "cluster", block_count(F.col("n"), F.col("n_bytes"), CLUSTER_BLOCK), "class_no",
+                            ["copies", "sign", "shingles"])
 
     def verify(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, low, high), rows in groups_of(parts, 3):
@@ -255,20 +274,22 @@ def verified_links(members: DataFrame, threshold: float, tolerance: float) -> Da
             a, b = _side_blocks(rows, low, high)
             signs = np.frombuffer(b"".join(r[3] for r in rows), "<u2").reshape(-1, VALUES)
             sets = [np.frombuffer(r[4], "<u8") for r in rows]
-            i, j = surviving(signs[a], signs[b], threshold, tolerance)
-            if low == high:
-                i, j = i[i < j], j[i < j]
-            inter = _intersections([sets[k] for k in a], [sets[k] for k in b], i, j)
-            i, j = np.array(a, np.int64)[i], np.array(b, np.int64)[j]
             sizes = np.array([len(s) for s in sets])
-            good = inter / (sizes[i] + sizes[j] - inter) >= threshold
-            i, j = i[good], j[good]
             copies = np.array([r[2] for r in rows], np.int64)
             links = np.zeros(len(rows), np.int64)
-            np.add.at(links, i, copies[j])
-            np.add.at(links, j, copies[i])
             forest = Forest(len(rows))
-            forest.add(i, j)
+            for x, y in tiles(a, b, CLUSTER_BLOCK):
+                i, j = surviving(signs[x], signs[y], threshold, tolerance)
+                if low == high:
+                    once = x[i] < y[j]
+                    i, j = i[once], j[once]
+                inter = _intersections([sets[k] for k in x], [sets[k] for k in y], i, j)
+                i, j = x[i], y[j]
+                good = inter / (sizes[i] + sizes[j] - inter) >= threshold
+                i, j = i[good], j[good]
+                np.add.at(links, i, copies[j])
+                np.add.at(links, j, copies[i])
+                forest.add(i, j)
             hit = np.flatnonzero(links).tolist()
             if hit:
                 yield pa.RecordBatch.from_arrays(
@@ -294,8 +315,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.min_by("text_key", order).alias("text_key"))
     classes = stored(classes.withColumn("class_no", F.monotonically_increasing_id()))
     clusters = components(candidate_edges(classes, threshold, tolerance))
-    sized = clusters.join(clusters.groupBy("label").agg(F.count("*").alias("n")), "label")
-    wanted = stored(sized.select(F.col("node").alias("class_no"), F.col("label").alias("cluster"), "n").join(
+    nodes = clusters.select(F.col("node").alias("class_no"), F.col("label").alias("cluster"))
+    # A set takes about 1.4 bytes a byte of text, at most four.
+    n_bytes = 2 * F.substring_index("text_key", ":", -1).cast("bigint")
+    sizes = nodes.join(classes.select("class_no", n_bytes.alias("n_bytes")), "class_no").groupBy("cluster").agg(
+        F.count("*").alias("n"), F.sum("n_bytes").alias("n_bytes"))
+    wanted = stored(nodes.join(sizes, "cluster").join(
         classes.select("class_no", "copies", "sign", "text_key"), "class_no"))
 
     @F.arrow_udf("binary")

@@ -130,6 +130,24 @@ def test_near_duplicates_in_large_groups(spark, monkeypatch):
     check_near(spark, rows)
 
 
+def test_rows_of_a_large_group_are_sent_to_few_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BUCKET_BLOCK", 2)
+    monkeypatch.setattr(near_duplicates, "CLUSTER_BLOCK", 2)
+    sent, dealt = [], near_duplicates.in_block_pairs
+
+    def counted(members, *args):
+        out = dealt(members, *args)
+        sent.append(out.count() / members.count())
+        return out
+
+    monkeypatch.setattr(near_duplicates, "in_block_pairs", counted)
+    rnd = random.Random(6)
+    base = [f"w{rnd.randint(0, 99)}" for _ in range(150)]
+    rows = [(i, " ".join(base[:k] + [f"x{i % 60}"] + base[k + 1:])) for i in range(80) for k in [rnd.randrange(150)]]
+    check_near(spark, rows)
+    assert len(sent) == 2 and all(0 < s <= 16 for s in sent)
+
+
 def test_pruning_keeps_what_reaches_the_threshold():
     least = near_duplicates.least_matches(0.8, 1e-6)
     assert list(least) == list(near_duplicates.STEPS) and 75 <= least[128] <= 88
