@@ -321,15 +321,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sizes = nodes.join(classes.select("class_no", n_bytes.alias("n_bytes")), "class_no").groupBy("cluster").agg(
         F.count("*").alias("n"), F.sum("n_bytes").alias("n_bytes"))
     wanted = stored(nodes.join(sizes, "cluster").join(
-        classes.select("class_no", "copies", "sign", "text_key"), "class_no"))
+        classes.select("class_no", "copies", "sign", "text_key", F.col("rep.doc_id").alias("rep_id")), "class_no"))
 
     @F.arrow_udf("binary")
     def shingle_column(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
             yield pa.array([shingles(t.as_py()).astype("<u8").tobytes() for t in batch], pa.binary())
 
-    own = docs.select(text_key(F.col(f"`{text}`")).alias("text_key"), F.col(f"`{text}`").cast("binary").alias("_text"))
-    members = lookup_join(own, wanted, "text_key", "text_key", "inner").dropDuplicates(["class_no"]).withColumn(
+    # The row number deals copies of one text to all salts; of them only the representative's row goes on.
+    own = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), text_key(F.col(f"`{text}`")).alias("text_key"),
+                      F.col(f"`{text}`").cast("binary").alias("_text"), F.monotonically_increasing_id().alias("_row"))
+    members = lookup_join(own, wanted, "text_key", "text_key", "inner").where(F.col("doc_id").eqNullSafe(F.col("rep_id")))
+    members = members.drop("_row", "doc_id", "rep_id").dropDuplicates(["class_no"]).withColumn(
         "shingles", shingle_column("_text")).drop("_text")
     found = stored(verified_links(members, threshold, tolerance))
     linked = found.groupBy("class_no").agg(F.sum("links").alias("links"))

@@ -148,6 +148,21 @@ def test_rows_of_a_large_group_are_sent_to_few_blocks(spark, monkeypatch):
     assert len(sent) == 2 and all(0 < s <= 16 for s in sent)
 
 
+def test_copies_of_a_text_go_to_many_salts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    joined, salts = near_duplicates.lookup_join, []
+
+    def shuffled(big, *args):
+        if "_text" in big.columns:
+            salts.append(big.where("length(_text) > 100").select(F.pmod(F.xxhash64(*big.columns), F.lit(16))).distinct().count())
+        return joined(big, *args, small=False)
+
+    monkeypatch.setattr(near_duplicates, "lookup_join", shuffled)
+    hot = " ".join(f"v{i}" for i in range(60))
+    check_near(spark, [(i, hot) for i in range(100)] + [(100, hot + " end"), (101, "other")])
+    assert salts[0] > 8
+
+
 def test_pruning_keeps_what_reaches_the_threshold():
     least = near_duplicates.least_matches(0.8, 1e-6)
     assert list(least) == list(near_duplicates.STEPS) and 75 <= least[128] <= 88
