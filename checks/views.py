@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.sources.spread import spread_small_input
 
-LINE_IDS = 1_000_000  # more than the lines of any document
+LINE_IDS = 1_000_000  # lines of a document at most; more are an error
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +28,11 @@ def adjacent_lines(docs: DataFrame) -> DataFrame:
     lines = docs.select(*extra, F.col("source").alias("dataset"), F.split("text", "\n").alias("lines"))
     nexts = F.slice("lines", F.lit(2), F.size("lines"))
     rows = lines.select(*extra, "dataset", F.posexplode(F.arrays_zip(F.col("lines").alias("s"), nexts.alias("t"))))
+    # Line LINE_IDS + 1 would have the id of the next document's first line.
+    failed = F.raise_error(F.concat(F.lit("too many lines for the ids of document "), F.col("doc_id").cast("string")))
+    pos = F.when(F.col("pos") >= LINE_IDS, failed.cast("int")).otherwise(F.col("pos"))
     return rows.select(
-        (F.col("doc_id") * LINE_IDS + F.col("pos") + 1).alias("pair_id"),
+        (F.col("doc_id") * LINE_IDS + pos + 1).alias("pair_id"),
         "dataset", *extra, F.col("col.s").alias("src"), F.col("col.t").alias("tgt"),
     )
 

@@ -206,3 +206,13 @@ def test_csv_in_pieces(spark, tmp_path):
     path.write_text('a,b\nx,y,z\n', encoding="utf-8")
     with pytest.raises(Exception, match="too many fields"):
         tables.read_table(spark, str(path), "a", "b", "csv", line_breaks=False).collect()
+
+
+def test_a_document_with_too_many_lines_for_its_ids_fails(spark, monkeypatch):
+    from checks import views
+    monkeypatch.setattr(views, "LINE_IDS", 3)
+    docs = spark.createDataFrame([(1, "s", "a\nb\nc"), (2, "s", "d")], "doc_id bigint, source string, text string")
+    assert sorted(r.pair_id for r in views.adjacent_lines(docs).collect()) == [4, 5, 6, 7]
+    longer = spark.createDataFrame([(1, "s", "a\nb\nc\nx"), (2, "s", "d")], "doc_id bigint, source string, text string")
+    with pytest.raises(Exception, match="too many lines for the ids of document 1"):
+        views.adjacent_lines(longer).collect()
