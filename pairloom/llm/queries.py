@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe, decontaminate, fingerprints, language_model, near_duplicates, quality, repeats, secrets, url_filter, warc
+from pairloom.llm import (
+    bpe, decontaminate, fingerprints, hard_negatives, language_model, line_runs, near_duplicates, quality, repeats, secrets,
+    token_alignment, url_filter, warc,
+)
 from pairloom.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 URL_RULES = [
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -135,3 +139,67 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(docs).select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = token_alignment.align_tokens(
+        docs, "doc_id", "text", public_tokenizers.path(VOCABULARY), public_tokenizers.path(PIECES), digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batches = line_runs.file_batches(spark, f"{sf_dir}/documents.parquet")
+    settled = line_runs.repeated_lines([b.select("doc_id", "text") for b in batches], "doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_runs.drop_lines(docs, "doc_id", "text", settled).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_BLANK = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+ORACLES["op12_line_dedup"] = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM docs),
+keyed AS (
+  SELECT *, translate(trim(line, {_BLANK}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+often AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT r) >= 3),
+judged AS (
+  SELECT k.*, coalesce(k.doc_id < o.keeper, o.keeper IS NOT NULL) AS gone FROM keyed k LEFT JOIN often o USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r, doc_id
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.select("vec_id", noisy.alias("label"), "embedding")
+    return hard_negatives.mine_hard_negatives(vectors, "vec_id", "label", "embedding", F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS codes
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_dot_product(a.codes, b.codes)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.codes) = len(b.codes)),
+positives AS (
+  SELECT anchor_id, id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id,
+       (row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id))::INTEGER AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n
+  ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""

@@ -54,13 +54,27 @@ def hard_dir(tmp_path_factory):
             "://example.org/en/2"]
     pages = pa.table({"page_id": pa.array([1, 2, 3, 4, 5, 6, 7, None], pa.int64()), "url": urls, "html": html, "host": urls, "rule": urls})
     pq.write_table(pages, folder / "pages.parquet")
+    pq.write_table(hard_vectors(), folder / "embeddings.parquet")
     return str(folder)
 
 
+def hard_vectors():
+    """Ties, zeros, negative numbers, vectors of other lengths, nulls, non-finite numbers, a null id, a null label."""
+    nan, inf = float("nan"), float("inf")
+    vectors = [[(i * 7 % 5 - 2) / 4, (i * 3 % 7 - 3) / 8, 0.0, (i % 3 - 1) / 2] for i in range(160)]
+    vectors[3], vectors[4], vectors[5], vectors[6], vectors[8] = None, [nan] * 4, [inf, 0.0, 0.0, 0.0], [None, 1.0, 1.0, 1.0], []
+    vectors[9], vectors[100], vectors[57] = [1.0, 2.0], [0.0] * 4, vectors[50]
+    labels = [i % 3 for i in range(160)]
+    labels[11] = None
+    ids = [*range(159), None]
+    return pa.table({"vec_id": pa.array(ids, pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32())),
+                     "label": pa.array(labels, pa.int32()), "score": ["s"] * 160, "id": [1] * 160, "codes": [None] * 160})
+
+
 @pytest.fixture(scope="session")
 def empty_dir(tmp_path_factory):
     """The same tables without a row."""
     folder = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "labels", "benchmark", "pages"):
+    for name in ("documents", "labels", "benchmark", "pages", "embeddings"):
         pq.write_table(pq.read_table(f"{SF}/{name}.parquet").slice(0, 0), folder / f"{name}.parquet")
     return str(folder)

@@ -38,7 +38,7 @@ def test_no_rows(spark, empty_dir, name):
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     want = con.execute(ORACLES[name])
     names = [d[0] for d in want.description]
