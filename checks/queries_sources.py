@@ -88,14 +88,29 @@ def src_table_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("src_table_csv", """
 SELECT replace(text, chr(10), ' ') AS src, lang AS tgt, unnest([true, false]) AS line_breaks FROM documents""")
 def src_table_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both ways of reading: a file as a whole, and in pieces."""
+    """Both ways of reading in pieces: with line breaks in fields allowed, and without."""
     folder = _staged_table(spark, sf_dir, ",", '"')
-    whole, pieces = (
+    records, one_line = (
         tables.read_table(spark, folder, "Source Sentence", "Lang-Code", "csv", line_breaks=breaks)
         .select("src", "tgt", F.lit(breaks).alias("line_breaks"))
         for breaks in (True, False)
     )
-    return whole.unionByName(pieces)
+    return records.unionByName(one_line)
+
+
+@query("src_table_csv_records", """
+SELECT doc_id AS position, text AS src, lang AS tgt, unnest(['whole', 'pieces']) AS read FROM documents""")
+def src_table_csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with their line breaks in quoted fields: a file a task, and in pieces."""
+    folder = staging_folder(spark) + "/table"
+    rows = table(spark, sf_dir, "documents").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    rows = rows.select(F.col("lang").alias("Lang"), F.col("text").alias("Text"))
+    rows.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(folder)
+    parts = [
+        tables.read_table(spark, folder, "Text", "Lang", "csv", whole_files=whole).withColumn("read", F.lit(name))
+        for name, whole in (("whole", True), ("pieces", False))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query("src_flat_column", "SELECT page_id AS position, url AS src, html AS tgt FROM pages")

@@ -39,6 +39,7 @@ class Entry:
     strict: bool = True
     legacy_null_strings: bool = False
     line_breaks: bool = True
+    whole_files: bool = False
     filter_param: Mapping[str, object] = field(default_factory=dict)
 
 
@@ -118,7 +119,7 @@ def read_entry(spark: SparkSession, entry: Entry) -> DataFrame:
     if entry.kind in ("table", "csv"):
         file_type = "csv" if entry.kind == "csv" else entry.file_type
         return read_table(spark, entry.path, entry.src_col, entry.tgt_col, file_type,
-                          entry.legacy_null_strings, entry.line_breaks)
+                          entry.legacy_null_strings, entry.line_breaks, entry.whole_files)
     raise ValueError(f"{entry.name}: unknown kind {entry.kind!r}, expected one of {KINDS}")
 
 

@@ -15,7 +15,7 @@ READ_ID = "_read_id"
 START_BYTES = 400  # of one block: a path and three numbers
 
 
-def _most_blocks(rows: DataFrame) -> int:
+def most_blocks(rows: DataFrame) -> int:
     """No scan has more blocks: whole blocks fill a partition each, and every file has at most
     one shorter block at its end.  Known from the listing of the files, without a job."""
     return rows.rdd.getNumPartitions() + len(rows.inputFiles())
@@ -26,7 +26,7 @@ def _with_offsets(rows: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFr
     # A window over blocks (one row per file split), never over rows.
     earlier = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    if _most_blocks(rows) * START_BYTES <= BROADCAST_BYTES:
+    if most_blocks(rows) * START_BYTES <= BROADCAST_BYTES:
         starts = F.broadcast(starts)
     return rows.join(starts, keys)
 

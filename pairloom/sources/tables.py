@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pairloom.functions.fixed_values import NULL_WORDS
 from pairloom.sources.alignment import alignment_report, require_aligned, zip_sides
 from pairloom.sources.positions import _with_offsets, numbered_rows
+from pairloom.sources.quoted_records import read_records
 
 BAD = "_corrupt_record"
 
@@ -28,12 +29,15 @@ def read_table(
     file_type: str = "tsv",
     legacy_null_strings: bool = False,
     line_breaks: bool = True,
+    whole_files: bool = False,
 ) -> DataFrame:
     """(position, src, tgt) of a delimited file with a header.
 
     tsv: no quoting; a row with too many fields is dropped, one with too few is kept with
-    nulls.  csv: quoted fields, which may span lines; a row with too many fields fails.  A csv
-    file known to have no line breaks inside fields splits with ``line_breaks=False``.
+    nulls.  csv: quoted fields, which may span lines; a row with too many fields fails.  Files
+    are read in pieces; quotes must then stand around fields, or in pairs within a line.  Others
+    are read one file a task with ``whole_files``.  A file known to have no line breaks inside
+    fields takes fewer scans with ``line_breaks=False``.
     Null words become null, or with ``legacy_null_strings`` the texts "nan" and, for a field
     the row does not have, "None".
     """
@@ -46,7 +50,8 @@ def read_table(
     if file_type == "tsv":
         rows = _read_tsv(spark, path, names)
     else:
-        rows = (_read_csv if line_breaks else _read_csv_lines)(spark, path, names)
+        read = _read_csv if whole_files else _read_csv_records if line_breaks else _read_csv_lines
+        rows = read(spark, path, names)
     texts = {
         "src": _null_words(F.col("fields")[names.index(src_col)], legacy_null_strings),
         "tgt": _null_words(F.col("fields")[names.index(tgt_col)], legacy_null_strings),
@@ -109,7 +114,7 @@ def _csv_fields(row: str, names: list[str]) -> Column:
 
 
 def _read_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """Quoted fields may hold line breaks, so a file is one unit of reading."""
+    """A file is one unit of reading, whatever its quotes."""
     reader = spark.read.schema(_csv_schema(names)).option("header", True).option("quote", '"').option("escape", '"')
     rows = reader.option("multiLine", True).option("enforceSchema", True).option("columnNameOfCorruptRecord", BAD).csv(path)
     read = rows.select(
@@ -127,10 +132,18 @@ def _read_csv_lines(spark: SparkSession, path: str, names: list[str]) -> DataFra
     value = F.when(
         quotes % 2 == 1, F.raise_error(F.concat(F.lit("quote left open in line: "), F.col("value"))).cast("string")
     ).otherwise(F.col("value"))
-    options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": BAD}
+    return _parsed(_data_lines(spark, path).select("position", value.alias("record")), names)
+
+
+def _read_csv_records(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+    """Quoted fields may hold line breaks; a file is read in as many pieces as it has blocks."""
+    return _parsed(read_records(spark, path), names)
+
+
+def _parsed(records: DataFrame, names: list[str]) -> DataFrame:
+    options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": BAD, "multiLine": "true"}
     schema = ", ".join(f"{name} string" for name in _csv_schema(names).names)
-    parsed = F.from_csv(value, schema, options)
-    rows = _data_lines(spark, path).select("position", parsed.alias("row"))
+    rows = records.select("position", F.from_csv("record", schema, options).alias("row"))
     return rows.select("position", _csv_fields("row.", names).alias("fields"))
 
 
