@@ -29,20 +29,15 @@ def below(number: Column, bits: int, what: str) -> Column:
     return F.when(F.shiftrightunsigned(number, bits) != 0, failed).otherwise(number)
 
 
-def global_id(dataset_rank: int, position: Column) -> Column:
-    if dataset_rank >= 1 << (63 - POSITION_BITS):
+def ranked_id(rank: Column, most: int, position: Column) -> Column:
+    """The id of a row of the dataset with ``rank``; no rank is above ``most``."""
+    if most >= 1 << (63 - POSITION_BITS):
         raise ValueError(f"more than {1 << (63 - POSITION_BITS)} datasets")
-    return F.lit(dataset_rank << POSITION_BITS).cast("bigint") + below(position, POSITION_BITS, "rows of a dataset")
+    return F.shiftleft(rank.cast("bigint"), POSITION_BITS) + below(position, POSITION_BITS, "rows of a dataset")
 
 
-def as_pairs(df: DataFrame, dataset: str, dataset_rank: int) -> DataFrame:
-    """(position, src, tgt) of one dataset -> rows of the pair schema."""
-    return df.select(
-        global_id(dataset_rank, F.col("position")).alias("pair_id"),
-        F.lit(dataset).alias("dataset"),
-        F.col("src").cast("string").alias("src"),
-        F.col("tgt").cast("string").alias("tgt"),
-    )
+def global_id(dataset_rank: int, position: Column) -> Column:
+    return ranked_id(F.lit(dataset_rank), dataset_rank, position)
 
 
 def columns_except(df: DataFrame, *names: str) -> list[str]:

@@ -27,11 +27,11 @@ from pairloom.sources.positions import START_BYTES, most_blocks
 
 QUOTE = '"'
 SUMMARY = "file string, block bigint, quotes bigint, starts_outside bigint, starts_inside bigint"
-PIECES = "record bigint, part bigint, piece string"
+PIECES = "owner bigint, record bigint, part bigint, piece string"
 
 _SUMMARY_ARROW = pa.schema([("file", pa.string()), ("block", pa.int64()), ("quotes", pa.int64()),
                             ("starts_outside", pa.int64()), ("starts_inside", pa.int64())])
-_PIECES_ARROW = pa.schema([("record", pa.int64()), ("part", pa.int64()), ("piece", pa.string())])
+_PIECES_ARROW = pa.schema([("owner", pa.int64()), ("record", pa.int64()), ("part", pa.int64()), ("piece", pa.string())])
 
 
 def well_formed(separator: str) -> str:
@@ -91,7 +91,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _pieces(pattern: str, fragments: bool):
-    """Rows (file_no, block, inside, first, base, value) -> the records that lie in one block, or the
+    """Rows (file_no, block, inside, first, base, value, owner) -> the records that lie in one block, or the
     ``fragments`` of the others, which have the block as ``part``.
 
     ``first`` is the number in its file of the first record that starts in the block, ``base`` what is
@@ -99,7 +99,7 @@ def _pieces(pattern: str, fragments: bool):
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = None  # (file, block) that is read
-        quotes = number = base = 0
+        quotes = number = base = owner = 0
         open_lines: list[str] = []  # of the record that is not ended yet
         since_head = True  # no record has started in the block: the lines belong to one before it
 
@@ -107,7 +107,7 @@ def _pieces(pattern: str, fragments: bool):
             whole = ended and not since_head
             if whole == fragments or not open_lines or number == 0:
                 return []
-            return [(base + number, now[1], "\n".join(open_lines))]
+            return [(owner, base + number, now[1], "\n".join(open_lines))]
 
         for batch in batches:
             out: list[tuple] = []
@@ -116,7 +116,7 @@ def _pieces(pattern: str, fragments: bool):
                 if key != now:
                     if now is not None:
                         out += part(quotes % 2 == 0)
-                    inside, first, base = (batch.column(k)[start].as_py() for k in (2, 3, 4))
+                    inside, first, base, owner = (batch.column(k)[start].as_py() for k in (2, 3, 4, 6))
                     now, open_lines, since_head, quotes, number = key, [], True, int(inside), first - 1
                 lines = batch.column(5).slice(start, end - start)
                 before, total = _quotes_before(lines)
@@ -138,7 +138,8 @@ def _pieces(pattern: str, fragments: bool):
                     _require(records.filter(pc.greater(pc.list_value_length(closed), 1)), pattern)
                     numbers = np.arange(number + 1, number + len(starts))
                     numbers = pa.array(np.where(numbers == 0, -1, numbers + base), pa.int64())
-                    yield pa.RecordBatch.from_arrays([numbers, pa.nulls(len(records), pa.int64()), records], schema=_PIECES_ARROW)
+                    owners = pa.array(np.full(len(records), owner))
+                    yield pa.RecordBatch.from_arrays([owners, numbers, pa.nulls(len(records), pa.int64()), records], schema=_PIECES_ARROW)
                 number += len(starts)
                 open_lines, since_head = lines.take(pa.array(body[offsets[-1]:])).to_pylist(), False
             if out:
@@ -149,7 +150,7 @@ def _pieces(pattern: str, fragments: bool):
     def checked(rows: list[tuple]) -> pa.RecordBatch:
         batch = _batch(rows, _PIECES_ARROW)
         if not fragments:
-            _require(batch.column(2).filter(pc.match_substring(batch.column(2), "\n")), pattern)
+            _require(batch.column(3).filter(pc.match_substring(batch.column(3), "\n")), pattern)
         return batch
 
     return run
@@ -161,18 +162,19 @@ def _require(records: pa.Array, pattern: str) -> None:
         raise ValueError(f"quote inside an unquoted field, or left open: {bad[0].as_py()[:300]!r}; read such files as a whole")
 
 
-def read_records(spark: SparkSession, path: str | list[str], separator: str = ",") -> DataFrame:
+def read_records(spark: SparkSession, path: str | list[str], separator: str = ",", owners: DataFrame | None = None) -> DataFrame:
     """(position, record): the records of all files, in order of their paths, without the first of each file.
 
     Records end at \\n or \\r\\n outside quotes; empty ones are left out.  Positions run from 0.
+    With ``owners``, a table (file, owner), each owner's files have positions of their own, beside a column ``owner``.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
-    blocks = cut_lineage(_placed(lines.mapInArrow(_summaries, SUMMARY)))
+    blocks = cut_lineage(_placed(lines.mapInArrow(_summaries, SUMMARY), owners))
     if most_blocks(lines) * START_BYTES <= BROADCAST_BYTES:
         blocks = F.broadcast(blocks)
     known = lines.join(blocks, ["file", "block"])
-    rows = ["file_no", "block", "inside", "first", "base", "value"]
+    rows = ["file_no", "block", "inside", "first", "base", "value", "owner"]
     pattern = well_formed(separator)
     whole = known.select(*rows).mapInArrow(_pieces(pattern, False), PIECES)
     broken = known.where("inside OR leaves_open").select(*rows).mapInArrow(_pieces(pattern, True), PIECES)
@@ -184,16 +186,19 @@ def read_records(spark: SparkSession, path: str | list[str], separator: str = ",
 
     # As many fragments as the record has blocks.
     parts = F.array_sort(F.collect_list(F.struct("part", "piece")))
-    joined = broken.where("record >= 0").groupBy("record").agg(F.array_join(F.transform(parts, lambda p: p["piece"]), "\n").alias("piece"))
-    records = whole.select("record", "piece").unionByName(joined.select("record", checked("piece").alias("piece")))
-    return records.where("record >= 0").select(F.col("record").alias("position"), _without_return(F.col("piece")).alias("record"))
+    whole_piece = F.array_join(F.transform(parts, lambda p: p["piece"]), "\n").alias("piece")
+    joined = broken.where("record >= 0").groupBy("owner", "record").agg(whole_piece)
+    records = whole.select("owner", "record", "piece").unionByName(joined.select("owner", "record", checked("piece").alias("piece")))
+    named = [] if owners is None else ["owner"]
+    return records.where("record >= 0").select(
+        *named, F.col("record").alias("position"), _without_return(F.col("piece")).alias("record"))
 
 
 def _without_return(record: Column) -> Column:
     return F.when(F.endswith(record, F.lit("\r")), F.left(record, F.length(record) - 1)).otherwise(record)
 
 
-def _placed(summaries: DataFrame) -> DataFrame:
+def _placed(summaries: DataFrame, owners: DataFrame | None) -> DataFrame:
     """Blocks with whether they begin ``inside`` quotes, whether they leave a record open, the number in
     the file of the ``first`` record that starts in them, and the ``base`` of the file's numbers.
 
@@ -205,8 +210,10 @@ def _placed(summaries: DataFrame) -> DataFrame:
     cased = cased.withColumn("starts", F.when(F.col("inside"), F.col("starts_inside")).otherwise(F.col("starts_outside")))
     numbered = cased.withColumn("first", F.coalesce(F.sum("starts").over(earlier), F.lit(0)))
     files = numbered.groupBy("file").agg(F.greatest(F.sum("starts") - 1, F.lit(0)).alias("n"))
-    by_path = Window.orderBy("file")
-    base = F.coalesce(F.sum("n").over(by_path.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - 1
-    files = files.select("file", base.alias("base"), F.row_number().over(by_path).alias("file_no"))
+    files = files.withColumn("owner", F.lit(0).cast("bigint")) if owners is None else files.join(owners, "file")
+    by_path = Window.partitionBy("owner").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("n").over(by_path), F.lit(0)) - 1
+    files = files.select("file", "owner", base.alias("base"), F.row_number().over(Window.orderBy("file")).alias("file_no"))
     leaves_open = (F.col("inside").cast("int") + F.col("quotes")) % 2 == 1
-    return numbered.join(files, "file").select("file", "file_no", "block", "inside", leaves_open.alias("leaves_open"), "first", "base")
+    return numbered.join(files, "file").select(
+        "file", "file_no", "owner", "block", "inside", leaves_open.alias("leaves_open"), "first", "base")

@@ -13,6 +13,7 @@ from pairloom.sources.positions import _with_offsets, numbered_rows
 from pairloom.sources.quoted_records import read_records
 
 BAD = "_corrupt_record"
+KEPT = ("rank", "position", "split_rank", "split")  # columns that stay beside the texts
 
 
 def _header(spark: SparkSession, path: str, separator: str, quoted: bool) -> list[str]:
@@ -53,13 +54,13 @@ def read_table(
         read = _read_csv if whole_files else _read_csv_records if line_breaks else _read_csv_lines
         rows = read(spark, path, names)
     texts = {
-        "src": _null_words(F.col("fields")[names.index(src_col)], legacy_null_strings),
-        "tgt": _null_words(F.col("fields")[names.index(tgt_col)], legacy_null_strings),
+        "src": null_words(F.col("fields")[names.index(src_col)], legacy_null_strings),
+        "tgt": null_words(F.col("fields")[names.index(tgt_col)], legacy_null_strings),
     }
     return rows.select("position", *[value.alias(name) for name, value in texts.items()])
 
 
-def _null_words(value: Column, legacy: bool) -> Column:
+def null_words(value: Column, legacy: bool) -> Column:
     if legacy:
         return F.when(value.isNull(), "None").when(value.isin(*NULL_WORDS), "nan").otherwise(value)
     return F.when(~value.isin(*NULL_WORDS), value)
@@ -95,30 +96,28 @@ def _read_tsv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     return fields.where(F.size("fields") <= len(names)).select("position", padded.alias("fields"))
 
 
-def _csv_schema(names: list[str]) -> T.StructType:
-    return T.StructType(
-        [T.StructField(f"_{i}", T.StringType()) for i in range(len(names))] + [T.StructField(BAD, T.StringType())]
-    )
+def _csv_schema(n: int) -> T.StructType:
+    return T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(n)] + [T.StructField(BAD, T.StringType())])
 
 
-def _csv_fields(row: str, names: list[str]) -> Column:
+def _csv_fields(row: str, n: int) -> Column:
     """The fields of a parsed row, whose columns are behind the prefix ``row``.  Rows that are
     too short are legal (their fields are null); too long ones are not."""
     bad = F.col(f"{row}{BAD}")
     quoted_out = F.regexp_replace(bad, F.lit(r'(?s)"(?:[^"]|"")*"'), F.lit(""))
-    too_long = F.size(F.split(quoted_out, ",")) > len(names)
+    too_long = F.size(F.split(quoted_out, ",")) > n
     return F.when(
         bad.isNotNull() & too_long,
         F.raise_error(F.concat(F.lit("row with too many fields: "), bad)).cast("array<string>"),
-    ).otherwise(F.array(*[F.col(f"{row}_{i}") for i in range(len(names))]))
+    ).otherwise(F.array(*[F.col(f"{row}_{i}") for i in range(n)]))
 
 
 def _read_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     """A file is one unit of reading, whatever its quotes."""
-    reader = spark.read.schema(_csv_schema(names)).option("header", True).option("quote", '"').option("escape", '"')
+    reader = spark.read.schema(_csv_schema(len(names))).option("header", True).option("quote", '"').option("escape", '"')
     rows = reader.option("multiLine", True).option("enforceSchema", True).option("columnNameOfCorruptRecord", BAD).csv(path)
     read = rows.select(
-        _csv_fields("", names).alias("fields"),
+        _csv_fields("", len(names)).alias("fields"),
         F.col("_metadata.file_path").alias("_file"),
         F.monotonically_increasing_id().alias("_read_id"),
     )
@@ -126,25 +125,29 @@ def _read_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
 
 
 def _read_csv_lines(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """No field holds a line break, so a file is read in as many pieces as it has blocks.  A
-    line in which a quote stays open breaks that promise and fails."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    value = F.when(
-        quotes % 2 == 1, F.raise_error(F.concat(F.lit("quote left open in line: "), F.col("value"))).cast("string")
-    ).otherwise(F.col("value"))
-    return _parsed(_data_lines(spark, path).select("position", value.alias("record")), names)
+    """No field holds a line break, so a file is read in as many pieces as it has blocks."""
+    return parsed_records(_data_lines(spark, path).select("position", closed_line(F.col("value")).alias("record")), len(names))
 
 
 def _read_csv_records(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     """Quoted fields may hold line breaks; a file is read in as many pieces as it has blocks."""
-    return _parsed(read_records(spark, path), names)
+    return parsed_records(read_records(spark, path), len(names))
+
+
+def closed_line(line: Column) -> Column:
+    """The line; one in which a quote stays open breaks the promise that no field has a line break, and fails."""
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    failed = F.raise_error(F.concat(F.lit("quote left open in line: "), line)).cast("string")
+    return F.when(quotes % 2 == 1, failed).otherwise(line)
 
 
-def _parsed(records: DataFrame, names: list[str]) -> DataFrame:
+def parsed_records(records: DataFrame, n: int) -> DataFrame:
+    """The column ``record``, text of a csv record of ``n`` fields, replaced by ``fields``."""
     options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": BAD, "multiLine": "true"}
-    schema = ", ".join(f"{name} string" for name in _csv_schema(names).names)
-    rows = records.select("position", F.from_csv("record", schema, options).alias("row"))
-    return rows.select("position", _csv_fields("row.", names).alias("fields"))
+    schema = ", ".join(f"{name} string" for name in _csv_schema(n).names)
+    kept = [c for c in records.columns if c != "record"]
+    rows = records.select(*kept, F.from_csv("record", schema, options).alias("row"))
+    return rows.select(*kept, _csv_fields("row.", n).alias("fields"))
 
 
 def select_flat(
@@ -160,7 +163,7 @@ def select_flat(
         column = F.col(f"`{key}`") if key in df.columns else F.lit(None)
         df = df.where(column.isNull() if value is None else column == F.lit(value))
     return df.select(
-        *[c for c in ("position", "split_rank", "split") if c in df.columns],
+        *[c for c in KEPT if c in df.columns],
         F.col(f"`{src_col}`").alias("src"),
         F.col(f"`{tgt_col}`").alias("tgt"),
     )
@@ -179,7 +182,7 @@ def select_nested(df: DataFrame, column: str, src_key: str, tgt_key: str) -> Dat
         src, tgt = F.try_element_at(F.col(f"`{column}`"), F.lit(src_key)), F.try_element_at(F.col(f"`{column}`"), F.lit(tgt_key))
     else:
         raise ValueError(f"{column} is neither a map nor a struct")
-    kept = [c for c in ("position", "split_rank", "split") if c in df.columns]
+    kept = [c for c in KEPT if c in df.columns]
     return df.select(*kept, src.alias("src"), tgt.alias("tgt"))
 
 

@@ -187,6 +187,82 @@ def test_jobs_do_not_grow_with_the_catalog(spark, tmp_path):
     assert frame.count() == 27 and frame.where("src is null or tgt is null").count() == 0
 
 
+def test_jobs_and_scans_of_every_kind_do_not_grow(spark, tmp_path):
+    def stage(n):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        found = []
+        for i in range(n):
+            hub = str(folder / f"hub {i}")
+            rows = [(f"s{i}.{k}", f"t{i}.{k}", {"en": f"n{i}.{k}", "am": "x"}) for k in range(3)]
+            spark.createDataFrame(rows, "s string, t string, tr map<string,string>").coalesce(1).write.parquet(hub)
+            columns = ("b", "a") if i % 2 else ("a", "b")  # the order of columns differs from file to file
+            tsv = write(folder / f"{i}.tsv", "\t".join([*columns, "c"]) + f"\n{columns[0]}{i}\t{columns[1]}{i}\textra\n")
+            comma = write(folder / f"{i}.csv", ",".join(columns) + f'\n"{columns[0]}\n{i}",{columns[1]}{i}\nNA,q\n')
+            found += [
+                Entry(f"flat{i}", hub, src_col="s", tgt_col="t"), Entry(f"splits{i}", {"p": hub, "q": hub}, split="q+p", src_col="t", tgt_col="s"),
+                Entry(f"nested{i}", hub, format="nested_translation", column="tr", src_key="en", tgt_key="am"),
+                Entry(f"dual{i}", format="dual_config", src_path=hub, tgt_path=hub, column="s"),
+                Entry(f"tsv{i}", tsv, kind="table", src_col="a", tgt_col="b", legacy_null_strings=i % 3 == 0),
+                Entry(f"csv{i}", comma, kind="csv", src_col="a", tgt_col="b"),
+                Entry(f"csv1{i}", write(folder / f"{i}-1.csv", "a,b\nu,v\n"), kind="csv", src_col="a", tgt_col="b", line_breaks=False),
+            ]
+        return found
+
+    def jobs(n):
+        listed = stage(n)
+        context = spark.sparkContext
+        context.setJobGroup(f"kinds-{n}", "")
+        frame = catalog.read_catalog(spark, listed)
+        used = len(context.statusTracker().getJobIdsForGroup(f"kinds-{n}"))
+        context.setJobGroup("", "")
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        return used, plan.count("Relation"), frame
+
+    few, few_scans, _ = jobs(3)
+    many, many_scans, frame = jobs(30)
+    assert (few, few_scans) == (many, many_scans)
+    rows = sorted((r.pair_id, r.dataset, r.src, r.tgt) for r in frame.collect())
+    assert len({r[0] for r in rows}) == len(rows) == 30 * (3 + 6 + 3 + 3 + 1 + 2 + 1)
+    of = lambda name: [r[2:] for r in rows if r[1] == name]
+    assert of("flat7") == [(f"s7.{k}", f"t7.{k}") for k in range(3)] == [(b, a) for a, b in of("splits7")[:3]] == [(b, a) for a, b in of("splits7")[3:]]
+    assert of("nested9") == [(f"n9.{k}", "x") for k in range(3)] and of("dual4") == [(f"s4.{k}",) * 2 for k in range(3)]
+    assert of("tsv7") == [("a7", "b7")] == of("tsv7") and of("csv8") == [("a\n8", "b8"), (None, "q")] and of("csv7") == [("a7", "b\n7"), ("q", None)]
+    assert of("csv15") == [("u", "v")]
+
+
+def test_catalog_errors_and_folders_of_folders(spark, tmp_path):
+    hub = str(tmp_path / "hub")
+    spark.createDataFrame([("a", "b", 1), ("c", "d", 2)], "s string, t string, part int").write.partitionBy("part").parquet(hub)
+    got = catalog.read_catalog(spark, [Entry("x", hub, src_col="s", tgt_col="t"), Entry("y", f"{hub}/part=2", src_col="s", tgt_col="t")])
+    assert sorted((r.dataset, r.src, r.tgt) for r in got.collect()) == [("x", "a", "b"), ("x", "c", "d"), ("y", "c", "d")]
+    with pytest.raises(ValueError, match="no column 'q'"):
+        catalog.read_catalog(spark, [Entry("y", f"{hub}/part=2", src_col="s", tgt_col="q")])
+    with pytest.raises(ValueError, match="no column 'q'"):
+        catalog.read_catalog(spark, [Entry("t", write(tmp_path / "x.tsv", "a\tb\n"), kind="table", src_col="a", tgt_col="q")])
+    with pytest.raises(ValueError, match="no split 'dev'"):
+        catalog.read_catalog(spark, [Entry("y", {"train": f"{hub}/part=2"}, split="dev+train", src_col="s", tgt_col="t")])
+    src, tgt = write(tmp_path / "s", "1\n2\n"), write(tmp_path / "u", "1\n")
+    with pytest.raises(ValueError, match="pair: 2 source and 1 target rows"):
+        catalog.read_catalog(spark, [Entry("pair", kind="local", src_path=src, tgt_path=tgt)])
+    loose = catalog.read_catalog(spark, [Entry("pair", kind="local", src_path=src, tgt_path=tgt, strict=False)])
+    assert sorted((r.src, r.tgt) for r in loose.collect()) == [("1", "1"), ("2", None)]
+
+
+def test_long_and_packed_headers(spark, tmp_path, monkeypatch):
+    import gzip
+
+    from pairloom.sources import scans
+
+    monkeypatch.setattr(scans, "HEADER_BYTES", 16)
+    names = [f'column, "{i}"\nx' for i in range(50)]
+    quoted = ",".join('"' + n.replace('"', '""') + '"' for n in names)
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress((quoted + "\n1,2\n").encode()))
+    write(tmp_path / "b.tsv", "\ufeff" + "\t".join(f"c{i}" for i in range(50)) + "\r\n")
+    found = scans.headers(spark, [(f"file:{tmp_path}/a.csv.gz", "csv"), (f"file:{tmp_path}/b.tsv", "tsv")])
+    assert [*found.values()] == [names, [f"c{i}" for i in range(50)]]
+
+
 def test_csv_in_pieces(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text('a,b\n' + "".join(f'"x, ""{i}""",y{i}\n' for i in range(2000)) + "\nshort\n", encoding="utf-8")
