@@ -271,15 +271,20 @@ def merge_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 RUN_PAIRS = f"""{sql.PAIRS},{sql.ruled('dataset,')},{sql.TEST_KEYS}"""
 
 
-def _two_runs(spark: SparkSession, sf_dir: str, save_format: str) -> corpus.Output:
-    """Every source as a dataset of its own: the first half of them processed, then all."""
+def _sources(spark: SparkSession, sf_dir: str, save_format: str = "parquet") -> tuple[list[Entry], corpus.Output]:
+    """Every source as a dataset of its own, and a place for the output."""
     root = staging_folder(spark)
     # Ranges of (dataset, pair_id): the files of a dataset follow the order of its rows.
     placed = pairs(spark, sf_dir).repartitionByRange("dataset", "pair_id").sortWithinPartitions("dataset", "pair_id")
     placed.write.partitionBy("dataset").parquet(f"{root}/sources")
     names = [r.source for r in table(spark, sf_dir, "documents").select("source").distinct().orderBy("source").collect()]
     entries = [Entry(name, f"{root}/sources/dataset={name}") for name in names]
-    output = corpus.Output(f"{root}/out", "en", "am", save_format)
+    return entries, corpus.Output(f"{root}/out", "en", "am", save_format)
+
+
+def _two_runs(spark: SparkSession, sf_dir: str, save_format: str) -> corpus.Output:
+    """The first half of the sources processed, then all."""
+    entries, output = _sources(spark, sf_dir, save_format)
     for known in (entries[: len(entries) // 2], entries):
         if known:
             corpus.process_datasets(spark, known, output, [])
@@ -307,8 +312,27 @@ UNION ALL SELECT 'am', dataset, replace(replace(tgt, chr(13), ' '), chr(10), ' '
 def run_incremental_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text files that two runs over a growing catalog leave."""
     output = _two_runs(spark, sf_dir, "text")
-    lines = spark.read.text(f"{output.text}/lang_pair={output.lang_pair}")
-    return lines.select("lang", F.col("dataset").cast("string").alias("dataset"), F.col("value").alias("line"))
+    return corpus.read_output_lines(spark, output).withColumnRenamed("value", "line")
+
+
+@query("run_capped_then_lifted", f"""
+WITH {RUN_PAIRS},
+placed AS (SELECT dataset, row_number() OVER (ORDER BY dataset, pair_id) AS n FROM pw),
+capped AS (SELECT dataset, count(*) FILTER (WHERE n <= 5000) AS first_rows, count(*) AS all_rows FROM placed GROUP BY dataset),
+kept AS (SELECT dataset, count(*) AS n FROM ruled GROUP BY dataset)
+SELECT dataset, first_rows, first_rows = all_rows AS first_complete, all_rows, coalesce(n, 0) AS kept_rows,
+       true AS complete, first_rows = all_rows AS cached
+FROM capped LEFT JOIN kept USING (dataset)""")
+def run_capped_then_lifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run with a cap, then one without: what the cap cut short or did not reach is processed whole."""
+    entries, output = _sources(spark, sf_dir)
+    first = corpus.process_datasets(spark, entries, output, [], cap=5000)
+    first = first.select("dataset", F.col("original").alias("first_rows"), F.col("complete").alias("first_complete"))
+    first = spark.createDataFrame(first.collect(), first.schema)  # a row per source, before the next run changes them
+    then = corpus.process_datasets(spark, entries, output, []).where("source IS NOT NULL")
+    stored = corpus.read_output(spark, output).groupBy("dataset").agg(F.count(F.lit(1)).alias("kept_rows"))
+    joined = then.join(first, "dataset").join(stored, "dataset", "left").na.fill(0, ["kept_rows"])
+    return joined.select("dataset", "first_rows", "first_complete", F.col("original").alias("all_rows"), "kept_rows", "complete", "cached")
 
 
 # --- sampling and tagging -----------------------------------------------------

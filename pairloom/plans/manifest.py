@@ -34,7 +34,9 @@ def dataset_metadata(
 def latest_metadata(manifest: DataFrame) -> DataFrame:
     """The newest row of every dataset."""
     rest = [c for c in manifest.columns if c != "dataset_name"]
-    newest = manifest.groupBy("dataset_name").agg(F.max_by(F.struct(*rest), "processed_at").alias("r"))
+    # Of rows with the same time, those of the later run id.
+    order = [c for c in ("processed_at", "run") if c in rest]
+    newest = manifest.groupBy("dataset_name").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
     return newest.select("dataset_name", "r.*")
 
 

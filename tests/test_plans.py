@@ -129,10 +129,10 @@ def test_runs_over_time(spark, tmp_path, save_format):
         return Entry(name, path)
 
     def kept(out):
-        rows = sorted((r.dataset, r.src) for r in files.read_pairs(spark, out.pairs, out.src_lang, out.tgt_lang).collect())
+        rows = sorted((r.dataset, r.src) for r in corpus.read_output(spark, out).collect())
         if save_format == "text":
-            folder = f"{out.text}/lang_pair={out.lang_pair}/lang={out.src_lang}"
-            assert sorted((r.dataset, r.value) for r in spark.read.text(folder).collect()) == rows
+            lines = corpus.read_output_lines(spark, out).where(F.col("lang") == out.src_lang)
+            assert sorted((r.dataset, r.value) for r in lines.collect()) == rows
         return rows
 
     out = corpus.Output(str(tmp_path / "out"), "en", "am", save_format)
@@ -151,6 +151,41 @@ def test_runs_over_time(spark, tmp_path, save_format):
     summary = {r.dataset: r for r in corpus.process_datasets(spark, [nothing, second], out, [], from_cache=False).collect()}
     assert kept(out) == [("b", "four five")] and summary["a"].after_rule == 0
     assert corpus.merge_datasets(spark, out).first().total_rows_before_dedup == 1
+    # Files of the runs that nothing is read from any more go, and only they.
+    assert len(corpus.clean_output(spark, out)) == 2 and not corpus.clean_output(spark, out)
+    assert kept(out) == [("b", "four five")] and kept(other) == [("b", "four five")]
+
+
+def test_a_run_that_fails_leaves_the_old_state_whole(spark, tmp_path, monkeypatch):
+    def table(name, rows):
+        path = str(tmp_path / name)
+        spark.createDataFrame(rows, "src string, tgt string").coalesce(1).write.mode("overwrite").parquet(path)
+        return Entry(name, path)
+
+    out = corpus.Output(str(tmp_path / "out"), "en", "am", "text")
+    state = lambda: (sorted((r.dataset, r.src, r.tgt) for r in corpus.read_output(spark, out).collect()),
+                     sorted((r.lang, r.value) for r in corpus.read_output_lines(spark, out).collect()),
+                     sorted((r.dataset_name, r.original, r.run) for r in corpus.read_manifest(spark, out).collect()))
+    assert state() == ([], [], [])
+    entries = [table("007", [("one two", "xx yyy")]), table("b", [("four five", "uuu vvv")])]
+    corpus.process_datasets(spark, entries, out, [])
+    before = state()
+    assert [r[0] for r in before[0]] == ["007", "b"]
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    table("007", [("quite new", "other text"), ("more new", "more text")]), table("b", [("same", "same")])
+    with monkeypatch.context() as m:
+        m.setattr(corpus.files, "write_metadata", fail)  # everything is written but the manifest
+        with pytest.raises(RuntimeError, match="lost"):
+            corpus.process_datasets(spark, entries, out, [], from_cache=False)
+    assert state() == before
+    assert corpus.merge_datasets(spark, out).first().total_rows_before_dedup == 2
+    assert len(corpus.clean_output(spark, out)) == 1
+    assert state() == before
+    corpus.process_datasets(spark, entries, out, [], from_cache=False)
+    assert [r[1] for r in state()[0]] == ["more new", "quite new"]
 
 
 def test_names_never_collide():
@@ -188,18 +223,24 @@ def test_options_of_a_run(spark, tmp_path):
     ).detector(spark.range(1))
     out = corpus.Output(str(tmp_path / "out"), "en", "am")
     summary = {r.dataset: r for r in corpus.process_datasets(spark, entries, out, [], cap=3, report=(detector, detector)).collect()}
-    # The cap is met inside the second dataset; the third is finished without a row.
+    # The cap is met inside the second dataset and does not reach the third: neither is finished.
     assert [summary[d].original for d in ("a", "b", "c", "TOTAL")] == [2, 1, 0, 3] and not summary["a"].cached
+    assert [summary[d].complete for d in ("a", "b", "c")] == [True, False, False]
+    assert {r.dataset_name for r in corpus.read_manifest(spark, out).collect()} == {"a", "b"}
     report = spark.read.json(f"{out.root}/languages/en-am").collect()
     assert {(r.side, r.dataset) for r in report} == {(s, d) for s in ("src", "tgt") for d in "ab"}
-    again = {r.dataset: r.cached for r in corpus.process_datasets(spark, entries, out, []).collect()}
-    assert again == {"a": True, "b": True, "c": True, "TOTAL": None}
+    assert corpus.merge_datasets(spark, out).first().total_rows_before_dedup == 3
+    again = {r.dataset: r for r in corpus.process_datasets(spark, entries, out, []).collect()}
+    assert {d: r.cached for d, r in again.items()} == {"a": True, "b": False, "c": False, "TOTAL": None}
+    assert [again[d].original for d in ("a", "b", "c", "TOTAL")] == [2, 2, 1, 5] and again["c"].complete
+    whole = {r.dataset: r.cached for r in corpus.process_datasets(spark, entries, out, [], cap=1).collect()}
+    assert whole == {"a": True, "b": True, "c": True, "TOTAL": None}
 
     test_set = spark.createDataFrame([("one two three four six", "unseen")], "src string, tgt string")
-    assert corpus.merge_datasets(spark, out, test_set).first().rows_after_leakage == 3
+    assert corpus.merge_datasets(spark, out, test_set).first().rows_after_leakage == 5
     near = corpus.merge_datasets(spark, out, test_set, near=0.6).first()
-    assert near.rows_after_leakage == 2 and near.processed_at is not None
-    assert corpus.merge_datasets(spark, out, excluded=["a"], include_excluded=True).first().total_rows_before_dedup == 3
+    assert near.rows_after_leakage == 4 and near.processed_at is not None
+    assert corpus.merge_datasets(spark, out, excluded=["a"], include_excluded=True).first().total_rows_before_dedup == 5
     # No quality was stored, so a bound on it sets all datasets aside.
     assert corpus.merge_datasets(spark, out, least_quality=0.1).first().total_rows_before_dedup == 0
 
