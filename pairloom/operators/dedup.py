@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pairloom.operators.first import first_per_key
+from pairloom.operators.first import first_per_key, keep_first
 
 
 def drop_identical(df: DataFrame) -> DataFrame:
@@ -25,10 +25,10 @@ def first_per_target(df: DataFrame) -> DataFrame:
 
 
 def deduplicate(df: DataFrame) -> DataFrame:
-    """All steps, with two shuffles: the first row per source is also the first of its
-    pair, so the pair step needs none of its own.  The target step sees only the rows the
-    source step kept."""
-    return df.transform(drop_identical).transform(first_per_source).transform(first_per_target)
+    """All steps, with two shuffles of hashes and one filter of the rows: the first row per source is
+    also the first of its pair, so the pair step needs none of its own.  The target step sees only
+    the rows the source step kept."""
+    return keep_first(drop_identical(df), [["src"], ["tgt"]])
 
 
 def dedup_counts(df: DataFrame) -> DataFrame:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from pairloom.functions.text import word_set
 from pairloom.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
+from pairloom.operators.near_leakage import both_sides, drop_near
 from pairloom.session import cut_lineage
 
 
@@ -26,10 +24,10 @@ def drop_leaked(
     occur in the corpus are found for both sides in one pass and stored.
     """
     sides = {"src": test_src, "tgt": test_tgt}
-    keys = _both_sides(test, sides).distinct()
+    keys = both_sides(test, sides).distinct()
     small = fits_broadcast(keys, limit)
     if not small:
-        texts = _both_sides(pairs, {side: side for side in sides}).distinct().alias("texts")
+        texts = both_sides(pairs, {side: side for side in sides}).distinct().alias("texts")
         met = (F.col("keys.side") == F.col("texts.side")) & F.col("keys.text").eqNullSafe(F.col("texts.text"))
         keys = cut_lineage(keys.alias("keys").join(texts, met, "left_semi"))
         small = fits_broadcast(keys, limit)
@@ -39,94 +37,6 @@ def drop_leaked(
     return pairs
 
 
-def _both_sides(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """(side, text) of two text columns, in one scan."""
-    sides = [F.struct(F.lit(side).alias("side"), F.col(c).alias("text")) for side, c in columns.items()]
-    return df.select(F.inline(F.array(*sides)))
-
-
-# Near matches: token-set Jaccard similarity above a threshold.
-#
-# A set of n tokens that is at least t-similar to another shares a token with it among any
-# n - ceil(t*n) + 1 of its own tokens.  So a test text is found by that many of its tokens,
-# and the rarest ones are taken: a corpus text meets only the test texts it shares a rare
-# token with.  Every meeting is then decided on the whole token sets.
-
-
-def indexed_test_texts(test: DataFrame, threshold: float) -> DataFrame:
-    """(side, text, test_n, test_tokens, index_tokens): the words to find a test text by."""
-    words = test.select("side", "text", F.explode(word_set("text")).alias("token"))
-    frequency = words.groupBy("side", "token").agg(F.count(F.lit(1)).alias("df"))
-    # Rare first; among equally rare ones the longer word is the likelier to be rare elsewhere.
-    order = F.struct("df", (-F.length("token")).alias("shortness"), "token")
-    ranked = words.join(frequency, ["side", "token"]).groupBy("side", "text").agg(
-        F.array_sort(F.collect_list(order)).alias("ranked")
-    )
-    needed = F.ceil(F.col("test_n") * F.lit(threshold) - F.lit(1e-9)).cast("int")
-    count = F.greatest(F.col("test_n") - needed + 1, F.lit(0))
-    tokens = ranked.select("side", "text", F.size("ranked").alias("test_n"), F.col("ranked.token").alias("test_tokens"))
-    return tokens.withColumn("index_tokens", F.slice("test_tokens", F.lit(1), count))
-
-
-def near_matches(
-    pairs: DataFrame, test: DataFrame, threshold: float, limit: int = BROADCAST_BYTES
-) -> DataFrame:
-    """pair_id of the pairs with a side above ``threshold`` to a test text (side, text).
-
-    Both sides go through one scan: tokens are looked up in the index, and with a test set
-    of broadcast size no row is shuffled before it is known to be a hit.
-    """
-    indexed = indexed_test_texts(test, threshold)
-    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("text")) for s in ("src", "tgt")])
-    texts = pairs.select("pair_id", F.inline(sides)).select("pair_id", "side", word_set("text").alias("tokens"))
-    # The outer form spares the optimizer's own emptiness filter, which would split twice.
-    words = texts.select("pair_id", "side", "tokens", F.explode_outer("tokens").alias("token"))
-    entry = F.struct("test_n", "test_tokens")
-    filed = indexed.select("side", F.explode("index_tokens").alias("token"), entry.alias("entry"))
-
-    def similar(tokens: Column, test_n: Column, test_tokens: Column) -> Column:
-        n = F.size(tokens)
-        # Sets of too different sizes cannot be similar enough.
-        close = (n >= test_n * F.lit(threshold)) & (test_n >= n * F.lit(threshold))
-        shared = F.array(F.size(F.array_intersect(tokens, test_tokens)))
-        # "exists" names the size of the intersection, so that it is computed once.
-        return close & F.exists(shared, lambda s: s / (n + test_n - s) > F.lit(threshold))
-
-    if fits_broadcast(filed, limit):
-        # All test texts filed under a word come with it as one list, bounded like the whole
-        # index.  The first match ends the search, and no pair is emitted per test text.
-        lists = filed.groupBy("side", "token").agg(
-            F.collect_list("entry").alias("entries"),
-            F.min("entry.test_n").alias("least"),
-            F.max("entry.test_n").alias("most"),
-        )
-        n = F.size("tokens")
-        # A list in which every text is too short or too long is passed by unopened.
-        near = (n >= F.col("least") * F.lit(threshold)) & (F.col("most") >= n * F.lit(threshold))
-        met = words.join(F.broadcast(lists), ["side", "token"]).where(near)
-        hits = met.where(
-            F.exists("entries", lambda e: similar(F.col("tokens"), e.getField("test_n"), e.getField("test_tokens")))
-        )
-    else:
-        # Single words are shuffled, not whole texts; a frequent word's partition is split
-        # by adaptive execution.  The sets are fetched for the candidates only.
-        # test_id is a hash: texts that should share one are all compared.
-        named = indexed.withColumn("test_id", F.xxhash64("text"))
-        index = named.select("side", "test_id", "test_n", F.explode("index_tokens").alias("token"))
-        sets = named.select("side", "test_id", "test_tokens")
-        # The sizes go along, so that a frequent word meets only test texts of a fitting length.
-        n = F.size("tokens").alias("n")
-        fitting = (F.col("n") >= F.col("test_n") * F.lit(threshold)) & (F.col("test_n") >= F.col("n") * F.lit(threshold))
-        same_word = (F.col("words.side") == F.col("index.side")) & (F.col("words.token") == F.col("index.token"))
-        met = words.select("pair_id", "side", "token", n).alias("words").join(index.alias("index"), same_word & fitting).select(
-            "pair_id", "words.side", "test_id"
-        )
-        candidates = met.distinct()
-        judged = candidates.join(texts, ["pair_id", "side"]).join(sets, ["side", "test_id"])
-        hits = judged.where(similar(F.col("tokens"), F.size("test_tokens"), F.col("test_tokens")))
-    return hits.select("pair_id").distinct()
-
-
 def drop_near_leaked(
     pairs: DataFrame,
     test: DataFrame,
@@ -137,8 +47,6 @@ def drop_near_leaked(
 ) -> DataFrame:
     """Drop a pair when its source or target is a near match of the test side.
 
-    The hits, usually few, are stored and measured; then the pairs are filtered where they lie.
+    With a test set of broadcast size that is a filter of the pairs where they lie.
     """
-    both = _both_sides(test, {"src": test_src, "tgt": test_tgt}).distinct()
-    hits = cut_lineage(near_matches(pairs, both, threshold, limit).withColumnRenamed("pair_id", "hit_id"))
-    return lookup_join(pairs, hits, "pair_id", "hit_id", "left_anti", limit)
+    return drop_near(pairs, both_sides(test, {"src": test_src, "tgt": test_tgt}), threshold, limit)

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import ids, texts
 from pairloom.operators import dedup, leakage
@@ -139,3 +140,55 @@ def test_large_test_sets_leak_nothing_either(pairs_of, spark):
     small = texts(leakage.drop_leaked(pairs_of(rows), test))
     assert small == texts(leakage.drop_leaked(pairs_of(rows), test, limit=0))
     assert len(small) == 6
+
+
+def _random_pairs(pairs_of, n=400):
+    import random
+
+    rnd = random.Random(11)
+    text = lambda: rnd.choice([None, "", "a", "b", "A", "a ", "\x00", "True", "False", *[f"t{i}" for i in range(40)]])
+    return pairs_of([(text(), text()) for _ in range(n)])
+
+
+def _plain_first(rows, key):
+    seen, out = set(), []
+    for r in rows:
+        if key(r) not in seen:
+            seen.add(key(r))
+            out.append(r)
+    return out
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_first_per_key_against_a_plain_loop(spark, pairs_of, limit):
+    from pairloom.operators.first import keep_first
+
+    df = _random_pairs(pairs_of)
+    rows = sorted(tuple(r) for r in df.collect())
+    by_src = _plain_first(rows, lambda r: r[2])
+    assert sorted(tuple(r) for r in keep_first(df, [["src"]], limit=limit).collect()) == by_src
+    both = keep_first(df, [["src"], ["tgt"]], limit=limit)
+    assert sorted(tuple(r) for r in both.collect()) == _plain_first(by_src, lambda r: r[3]) and both.columns == df.columns
+    pairs = sorted(tuple(r) for r in dedup.first_per_pair(df).collect())
+    assert pairs == _plain_first(rows, lambda r: r[2:])
+
+
+def test_first_per_key_is_exact_when_hashes_collide(spark, pairs_of, monkeypatch):
+    from pairloom.operators import first
+
+    df = _random_pairs(pairs_of)
+    want = sorted(tuple(r) for r in dedup.deduplicate(df).collect())
+    few = lambda keys: [F.length(F.coalesce(F.col(keys[0]), F.lit("")))] * 2
+    monkeypatch.setattr(first, "key_hashes", few)
+    assert first.first_ids(df, [["src"]], "pair_id").where("clash").count() > 0
+    assert sorted(tuple(r) for r in dedup.deduplicate(df).collect()) == want
+
+
+def test_no_text_is_sorted_or_shuffled_to_deduplicate(spark, pairs_of):
+    from pairloom.operators.first import first_ids, keep_first
+
+    df = _random_pairs(pairs_of)
+    ids = first_ids(df, [["src"], ["tgt"]], "pair_id")._jdf.queryExecution().executedPlan().toString()
+    assert ids.count("HashAggregate") == 4 and "SortAggregate" not in ids
+    rows = keep_first(df, [["src"], ["tgt"]])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in rows and "Aggregate" not in rows
