@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from pairloom.model import columns_except
 from pairloom.operators.joins import BROADCAST_BYTES
@@ -27,9 +27,10 @@ def key_hashes(keys: Sequence[str]) -> list[Column]:
 
 
 def key_check(keys: Sequence[str]) -> Column:
-    """A hash of another form, which also tells a null from every text."""
-    forms = [F.concat_ws("\x00", F.isnull(k).cast("string"), F.reverse(F.col(k).cast("string"))) for k in keys]
-    return F.xxhash64(*forms, *[F.octet_length(F.col(k).cast("string")) for k in keys])
+    """A hash of another form, from checksums and lengths, which also tells a null from every text."""
+    texts = [F.col(k).cast("string") for k in keys]
+    parts = [[F.coalesce(F.crc32(t.cast("binary")), F.lit(-1)), F.coalesce(F.octet_length(t), F.lit(-1))] for t in texts]
+    return F.xxhash64(*[part for pair in parts for part in pair])
 
 
 def first_ids(df: DataFrame, steps: Sequence[Sequence[str]], order: str) -> DataFrame:
@@ -52,8 +53,10 @@ def first_ids(df: DataFrame, steps: Sequence[Sequence[str]], order: str) -> Data
 def keep_first(df: DataFrame, steps: Sequence[Sequence[str]], order: str = "pair_id", limit: int = BROADCAST_BYTES) -> DataFrame:
     """The rows left when, step by step, the one with the smallest ``order`` is kept for every distinct
     keys of the step; nulls equal nulls.  ``order`` is unique and comes out the same whenever ``df`` is read."""
-    ids = cut_lineage(first_ids(df, steps, order))
-    n, clash = ids.agg(F.count(F.lit(1)), F.max("clash")).first()
+    told = Observation()
+    ids = first_ids(df, steps, order).observe(told, F.count(F.lit(1)).alias("n"), F.max("clash").alias("clash"))
+    ids = cut_lineage(ids)
+    n, clash = told.get["n"], told.get["clash"]
     if clash:
         for keys in steps:
             df = _first_by_text(df, keys, order)
