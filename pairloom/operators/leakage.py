@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from pairloom.operators import bloom
 from pairloom.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
 from pairloom.operators.near_leakage import both_sides, drop_near
 from pairloom.session import cut_lineage
@@ -21,13 +22,15 @@ def drop_leaked(
     Two chained anti joins on equality keep hash joins possible.  A pair found as a whole
     in the test set is found by its source alone, so it needs no third join.  The keys of
     both sides are measured together, once; of a test set beyond the bound, the keys that
-    occur in the corpus are found for both sides in one pass and stored.
+    occur in the corpus are found for both sides in one pass and stored.  A Bloom filter of the
+    keys leaves out nearly all other texts where they are read, so few are shuffled for that.
     """
     sides = {"src": test_src, "tgt": test_tgt}
     keys = both_sides(test, sides).distinct()
     small = fits_broadcast(keys, limit)
     if not small:
-        texts = both_sides(pairs, {side: side for side in sides}).distinct().alias("texts")
+        keys = cut_lineage(keys)
+        texts = possible_keys(pairs, keys).distinct().alias("texts")
         met = (F.col("keys.side") == F.col("texts.side")) & F.col("keys.text").eqNullSafe(F.col("texts.text"))
         keys = cut_lineage(keys.alias("keys").join(texts, met, "left_semi"))
         small = fits_broadcast(keys, limit)
@@ -37,6 +40,15 @@ def drop_leaked(
     return pairs
 
 
+def possible_keys(pairs: DataFrame, keys: DataFrame, most_bits: int = bloom.MOST_BITS) -> DataFrame:
+    """(side, text) of the texts of ``pairs`` that may be among ``keys`` (side, text): all that are, and
+    some false positives."""
+    key_hash = F.xxhash64("side", "text")  # a null text has a hash as well
+    words = bloom.bloom_words(keys.select(key_hash.alias("h")), bloom.bits_for(keys.count(), most_bits))
+    texts = both_sides(pairs, {side: side for side in ("src", "tgt")})
+    return texts.where(bloom.bloom_column(pairs.sparkSession, words, key_hash))
+
+
 def drop_near_leaked(
     pairs: DataFrame,
     test: DataFrame,

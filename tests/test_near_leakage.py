@@ -75,3 +75,18 @@ def test_a_large_test_set_meets_prefixes_only(spark, pairs_of):
     assert sent.count() == 150 and not {r.token for r in sent.collect()} & {"the", "of", "and", "to", "in", "a"}
     met = meetings(pairs_of(rows), both_sides(test, {"src": "src", "tgt": "tgt"}), 0.8)
     assert [r.pair_id for r in met.collect()] == [7]
+
+
+def test_a_large_test_set_shuffles_hits_and_false_positives_only(spark, pairs_of):
+    rows = [(f"source {i}", f"target {i}" if i % 5 else None) for i in range(4000)]
+    test = [(f"source {i}", f"unseen {i}") for i in range(0, 4000, 100)] + [(f"other {i}", f"target {i}") for i in range(7, 4000, 200)]
+    test = spark.createDataFrame([*test, (None, "x")], "src string, tgt string")
+    keys = both_sides(test, {"src": "src", "tgt": "tgt"}).distinct()
+    passed = leakage.possible_keys(pairs_of(rows), keys)
+    hits = passed.join(keys, ["side", "text"], "left_semi").count()
+    assert hits == 40 + sum(i % 5 > 0 for i in range(7, 4000, 200)) and hits <= passed.count() <= hits + 0.02 * 8000
+    want = [i for i, (s, t) in enumerate(rows) if i % 100 and (i % 200 != 7 or t is None)]
+    assert ids(leakage.drop_leaked(pairs_of(rows), test, limit=0)) == want
+    # Too few bits let more texts pass, and lose none.
+    crowded = leakage.possible_keys(pairs_of(rows), keys, most_bits=64)
+    assert crowded.join(keys, ["side", "text"], "left_semi").count() == hits and crowded.count() > passed.count()
