@@ -16,7 +16,7 @@ from pairloom.session import staging_folder
 from pairloom.sinks import files
 from pairloom.sources import alignment, catalog, lines, tables
 from pairloom.sources.catalog import Entry
-from pairloom.sources.positions import numbered_rows
+from pairloom.sources.positions import numbered_lines, numbered_rows
 
 
 @query("src_aligned_lines", f"""
@@ -29,6 +29,19 @@ def src_aligned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.zip_sides(src, tgt, ("dataset",))
 
 
+@query("src_lines_strict", r"""
+WITH texts AS (SELECT doc_id, replace(text, '. ', '.' || chr(8232)) AS text FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, regexp_split_to_array(text, '\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]') AS parts FROM texts),
+rows AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM lines)
+SELECT row_number() OVER (ORDER BY doc_id, i) - 1 AS position, line FROM rows""")
+def src_lines_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as text files, with sentences apart by U+2028, read by the strict rules."""
+    folder = staging_folder(spark) + "/text"
+    rows = table(spark, sf_dir, "documents").where("text IS NOT NULL").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+    rows.select(F.replace("text", F.lit(". "), F.lit(".\u2028")).alias("value")).write.text(folder)
+    return numbered_lines(spark, folder, all_breaks=True)
+
+
 @query("val_alignment", f"""
 WITH {sql.LINES},
 n AS (SELECT doc_id, len(lns) AS n FROM docl)

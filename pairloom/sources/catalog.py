@@ -44,6 +44,7 @@ class Entry:
     legacy_null_strings: bool = False
     line_breaks: bool = True
     whole_files: bool = False
+    all_breaks: bool = False
     filter_param: Mapping[str, object] = field(default_factory=dict)
 
 
@@ -187,15 +188,14 @@ class _Reader:
     # Text.
 
     def _aligned_lines(self, named: Sequence[Named]) -> None:
-        for strict in (True, False):
-            own = [n for n in named if n[2].strict == strict]
-            if not own:
-                continue
-
+        ways = {}
+        for n in named:
+            ways.setdefault((n[2].strict, n[2].all_breaks), []).append(n)
+        for (strict, breaks), own in ways.items():
             def side(name: str) -> DataFrame:
                 parts = [scans.Part(rank, path := getattr(e, f"{name}_path"), scans.listed(self.spark.read.text(path)))
                          for rank, _, e in own]
-                lines = _union(scans.in_scans(parts, lambda group: scans.line_rows(self.spark, group)))
+                lines = _union(scans.in_scans(parts, lambda group: scans.line_rows(self.spark, group, all_breaks=breaks)))
                 return lines.select("rank", "position", F.col("line").alias(name))
 
             self._zipped(side("src"), side("tgt"), strict)

@@ -10,12 +10,13 @@ from pairloom.sources.positions import numbered_lines
 
 
 def read_aligned_lines(
-    spark: SparkSession, src_path: str, tgt_path: str, strict: bool = True
+    spark: SparkSession, src_path: str, tgt_path: str, strict: bool = True, all_breaks: bool = False
 ) -> DataFrame:
     """(position, src, tgt).  Empty lines stay as empty text.  ``strict`` counts both sides
-    first and fails when they differ; otherwise the longer side's rest comes with null beside it."""
-    src = numbered_lines(spark, src_path).withColumnRenamed("line", "src")
-    tgt = numbered_lines(spark, tgt_path).withColumnRenamed("line", "tgt")
+    first and fails when they differ; otherwise the longer side's rest comes with null beside it.
+    ``all_breaks``: see ``numbered_lines``."""
+    src = numbered_lines(spark, src_path, all_breaks).withColumnRenamed("line", "src")
+    tgt = numbered_lines(spark, tgt_path, all_breaks).withColumnRenamed("line", "tgt")
     if strict:
         name = F.lit(src_path).alias("dataset")
         require_aligned(alignment_report(src.select(name), tgt.select(name)))

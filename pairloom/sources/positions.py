@@ -31,25 +31,62 @@ def _with_offsets(rows: DataFrame, blocks: DataFrame, keys: list[str]) -> DataFr
     return rows.join(starts, keys)
 
 
-def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+# The characters beyond \n and \r at which a strict line reader breaks lines, too.
+FURTHER_BREAKS = "[\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029\\r]"
+
+
+def text_rows(spark: SparkSession, path: str | list[str], all_breaks: bool = False) -> DataFrame:
+    """(line, file, block, read id) of text files, and with ``all_breaks`` what ``block_counts`` needs beside.
+
+    Lines end at \\n, \\r\\n or \\r.  With ``all_breaks`` each is split at the further characters in the scan
+    itself, before its parts are numbered, so parts count like lines.
+    """
+    places = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    # Consecutive inside a block: a block is read by one task, front to back.
+    number = F.monotonically_increasing_id().alias(READ_ID)
+    if not all_breaks:
+        return spark.read.text(path).select(F.col("value").alias("line"), *places, number)
+    raw = spark.read.option("lineSep", "\n").text(path).select("value", *places, F.col("_metadata.file_size").alias("_size"))
+    bare = F.when(F.endswith("value", F.lit("\r")), F.left("value", F.length("value") - 1)).otherwise(F.col("value"))
+    # A break that ends a line which nothing else ends starts no further one.
+    open_end = F.col("value").rlike(FURTHER_BREAKS + "$(?!\\n)") & ~F.endswith("value", F.lit("\r"))
+    parts = raw.select("file", "block", "_size", F.octet_length("value").alias("_bytes"), open_end.alias("_open"),
+                       F.posexplode(F.split(bare, FURTHER_BREAKS, -1)).alias("_part", "line"))
+    whole = F.when(F.col("_part") == 0, F.col("_bytes"))
+    return parts.select("line", "file", "block", "_size", whole.alias("_bytes"), "_open", number)
+
+
+def block_counts(rows: DataFrame) -> DataFrame:
+    """(file, block, n, first) of rows from ``text_rows``: their number, and the read id of the first.
+
+    The last part of a file that ends with a further break, and not with the end of a line, is no
+    line: it is the empty text behind that break, and ``n`` leaves it out.  Whether a line end
+    comes last shows in the size of the file, but not in that of a compressed one.
+    """
+    counts = [F.count(F.lit(1)).alias("n"), F.min(READ_ID).alias("first")]
+    if "_open" not in rows.columns:
+        return rows.groupBy("file", "block").agg(*counts)
+    last = F.max_by("_open", READ_ID).alias("_open")
+    blocks = rows.groupBy("file", "block").agg(
+        *counts, last, F.count("_bytes").alias("_lines"), F.sum("_bytes").alias("_bytes"), F.max("_size").alias("_size"))
+    of_file = Window.partitionBy("file")
+    rest = F.max("_size").over(of_file) - F.sum("_bytes").over(of_file) - F.sum("_lines").over(of_file)
+    unended = rest.isin(-1, 2)  # 2: a byte order mark has three bytes, which no line has
+    is_last = F.col("block") == F.max("block").over(of_file)
+    return blocks.select("file", "block", F.when(unended & is_last & F.col("_open"), F.col("n") - 1).otherwise(F.col("n")).alias("n"), "first")
+
+
+def numbered_lines(spark: SparkSession, path: str | list[str], all_breaks: bool = False) -> DataFrame:
     """(position, line) of text files, files in order of their path, lines from 0.
 
-    Lines end at \\n, \\r\\n or \\r.  Splitting at further characters, as some line readers
-    do, would shift one side of an aligned pair of files against the other.
+    Lines end at \\n, \\r\\n or \\r.  ``all_breaks`` also splits them at the further characters some line
+    readers know, which can shift one side of an aligned pair of files against the other.
     """
-    lines = spark.read.text(path).select(
-        F.col("value").alias("line"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        # Consecutive inside a block: a block is read by one task, front to back.
-        F.monotonically_increasing_id().alias(READ_ID),
-    )
-    blocks = lines.groupBy("_file", "_block").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(READ_ID).alias("_first")
-    )
-    placed = _with_offsets(lines, blocks, ["_file", "_block"])
-    position = F.col("_before") + F.col(READ_ID) - F.col("_first")
-    return placed.select(position.alias("position"), "line")
+    rows = text_rows(spark, path, all_breaks)
+    blocks = block_counts(rows)
+    placed = _with_offsets(rows, blocks.withColumns({"_n": F.col("n")}), ["file", "block"])
+    within = F.col(READ_ID) - F.col("first")
+    return placed.where(within < F.col("n")).select((F.col("_before") + within).alias("position"), "line")
 
 
 def numbered_rows(spark: SparkSession, path: str | list[str], *columns: str) -> DataFrame:

@@ -20,7 +20,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from pairloom.operators.joins import BROADCAST_BYTES
-from pairloom.sources.positions import READ_ID, START_BYTES, most_blocks
+from pairloom.sources.positions import READ_ID, START_BYTES, block_counts, most_blocks, text_rows
 
 HEADER_BYTES = 1 << 16  # read at first; a longer header is read in steps twice as long
 ROW_KEYS = ("rank", "part", "position")
@@ -140,7 +140,7 @@ def _numbered(rows: DataFrame, blocks: DataFrame, keys: list[str], parts: DataFr
     # A window over blocks of files, never over rows.
     earlier = Window.partitionBy("rank", "part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     placed = blocks.join(F.broadcast(parts), "file") if small(rows) else blocks.join(parts, "file")
-    starts = placed.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    starts = placed.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     return rows.join(F.broadcast(starts) if small(rows) else starts, keys)
 
 
@@ -159,16 +159,14 @@ def table_rows(spark: SparkSession, parts: Sequence[Part], schema: T.StructType)
     return placed.select("rank", "part", position, *[F.col(f"`{c}`") for c in schema.names])
 
 
-def line_rows(spark: SparkSession, parts: Sequence[Part], names: Sequence[str] = ()) -> DataFrame:
+def line_rows(spark: SparkSession, parts: Sequence[Part], names: Sequence[str] = (), all_breaks: bool = False) -> DataFrame:
     """(rank, part, position, line, is_first, names...) of text files; ``is_first`` marks the first line of a file."""
-    rows = spark.read.text([p.path for p in parts]).select(
-        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias(READ_ID))
-    blocks = rows.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min(READ_ID).alias("_first"))
-    placed = _numbered(rows, blocks, ["file", "block"], part_table(spark, parts, names))
-    within = F.col(READ_ID) - F.col("_first")
-    return placed.select("rank", "part", (F.col("before") + within).alias("position"), "line",
-                         ((F.col("block") == 0) & (within == 0)).alias("is_first"), *names)
+    rows = text_rows(spark, [p.path for p in parts], all_breaks)
+    placed = _numbered(rows, block_counts(rows), ["file", "block"], part_table(spark, parts, names))
+    within = F.col(READ_ID) - F.col("first")
+    return placed.where(within < F.col("n")).select(
+        "rank", "part", (F.col("before") + within).alias("position"), "line",
+        ((F.col("block") == 0) & (within == 0)).alias("is_first"), *names)
 
 
 def in_scans(parts: Sequence[Part], read: Callable[[list[Part]], DataFrame]) -> list[DataFrame]:

@@ -187,6 +187,42 @@ def test_jobs_do_not_grow_with_the_catalog(spark, tmp_path):
     assert frame.count() == 27 and frame.where("src is null or tgt is null").count() == 0
 
 
+@pytest.mark.parametrize("block", [7, 50, 1 << 20])
+def test_all_breaks_equal_python_lines(spark, tmp_path, block):
+    import random
+
+    rnd = random.Random(block)
+    bits = ["a", "bc", "é", "日", " ", "", "\n", "\r\n", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029", "\x1f", "\t"]
+    ends = ["", "\n", "\r\n", "\r", "\x0b", "\u2028", "\x0b\r", "x\x85", "\x0b\n", "\x0b\x0b", "\u2028 "]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    want = []
+    for k in range(40):
+        text = "".join(rnd.choices(bits, k=rnd.randint(0, 40))) + ends[k % len(ends)]
+        text = ("\ufeff" if k % 9 == 4 else "") + text
+        (folder / f"{k:02}.txt").write_bytes(text.encode())
+        # Text files are opened with universal line ends, and then split.
+        want += [line.lstrip("\ufeff") for line in text.replace("\r\n", "\n").replace("\r", "\n").splitlines()]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        frame = numbered_lines(spark, str(folder), all_breaks=True)
+        got = sorted((r.position, r.line) for r in frame.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == list(enumerate(want))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_all_breaks_of_a_catalog_entry(spark, tmp_path):
+    src, tgt = write(tmp_path / "s", "one\u2028two\nthree\n"), write(tmp_path / "t", "eins\nzwei\x0bdrei\x0b")
+    plain, strict = (Entry(n, kind="local", src_path=src, tgt_path=tgt, all_breaks=n == "strict", strict=False) for n in ("plain", "strict"))
+    got = sorted((r.dataset, r.src, r.tgt) for r in catalog.read_catalog(spark, [plain, strict]).collect())
+    assert got == [("plain", "one\u2028two", "eins"), ("plain", "three", "zwei\x0bdrei\x0b"),
+                   ("strict", "one", "eins"), ("strict", "three", "drei"), ("strict", "two", "zwei")]
+
+
 def test_jobs_and_scans_of_every_kind_do_not_grow(spark, tmp_path):
     def stage(n):
         folder = tmp_path / str(n)
