@@ -3,10 +3,12 @@
 A rule is (host, path, verdict).  It fits a URL whose host is the rule's host or one of its
 subdomains and whose path starts with the rule's path, character by character.  Of all rules
 that fit, the longest (characters of host and path, then of host) gives the verdict; a rule
-given twice with different verdicts blocks.  Without a rule the verdict is ``DEFAULT``.
+given twice with different verdicts blocks if one of them does, and has the smaller one otherwise.
+Without a rule the verdict is ``DEFAULT``.
 
-Null URLs and URLs without ``://`` have an empty host and path and fit no rule; an empty rule
-list leaves every URL at the default; repeated rows are judged each on its own.
+Null URLs, URLs without ``://`` and those with nothing behind it have an empty host and fit no rule,
+and rules with an empty host fit no URL; an empty rule list leaves every URL at the default;
+repeated rows are judged each on its own.
 """
 
 from __future__ import annotations
@@ -49,7 +51,9 @@ class RuleTrie:
             for segment in segments:
                 node = node.setdefault(("segment", segment), {})
             ends = node.setdefault("ends", {})
-            ends[last] = ("block" if "block" in (verdict, ends.get(last, ("", ""))[0]) else verdict, host + path)
+            both = (verdict, ends.get(last, (verdict,))[0])
+            ends[last] = ("block" if "block" in both else min(both), host + path)
+            node.setdefault("lengths", {})[len(last)] = None
 
     def judge(self, host: str, path: str) -> tuple[str, str | None]:
         best, found = (-1, -1), (DEFAULT, None)
@@ -60,8 +64,9 @@ class RuleTrie:
                 break
             at = node.get("/")
             for segment in path.split("/") if at else ():
-                for end, (verdict, rule) in at.get("ends", {}).items():
-                    if segment.startswith(end) and (len(rule), length) > best:
+                for n in at.get("lengths", ()):
+                    verdict, rule = at["ends"].get(segment[:n], found) if n <= len(segment) else found
+                    if rule is not None and (len(rule), length) > best:
                         best, found = (len(rule), length), (verdict, rule)
                 at = at.get(("segment", segment))
                 if at is None:
@@ -72,9 +77,9 @@ class RuleTrie:
 def judge_urls(urls: DataFrame, url: str, rules: DataFrame, limit: int = MAX_RULE_BYTES) -> DataFrame:
     """``urls`` with host, path, rule and verdict added (own columns of these names give way).
 
-    ``rules`` has the columns host, path, verdict; rules with a null are void.
+    ``rules`` has the columns host, path, verdict; rules with a null or without a host are void.
     """
-    rules = rules.select("host", "path", "verdict").dropna().distinct()
+    rules = rules.select("host", "path", "verdict").dropna().where("host <> ''").distinct()
     host, path = url_parts(F.col(f"`{url}`"))
     parted = urls.withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))})
     if measured_bytes(rules) > limit:
@@ -108,7 +113,7 @@ def _judge_by_join(parted: DataFrame, rules: DataFrame) -> DataFrame:
     numbered = parted.withColumn("__llm_row", F.monotonically_increasing_id())
     labels, segments = F.split("host", r"\."), F.split("path", "/")
     keys = numbered.select("__llm_row", F.col("path").alias("__llm_url_path"), F.explode(F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, 999_999), "."))).alias("__llm_host"),
+        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))).alias("__llm_host"),
         segments.alias("__llm_segments"))
     keys = keys.select("__llm_row", "__llm_url_path", "__llm_host", F.explode(F.transform(
         F.sequence(F.lit(0), F.size("__llm_segments") - 1),
