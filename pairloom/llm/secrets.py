@@ -16,8 +16,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -51,11 +53,13 @@ def candidates(text: str) -> list[tuple[int, int, int, str]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end(), m[0]) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(text)]
-    covered = [(start, end) for start, _, end, _ in found]
+    # Base spans by start, with the furthest end so far: one look tells whether any overlaps.
+    covered = sorted((start, end) for start, _, end, _ in found)
+    starts, furthest = [s for s, _ in covered], list(accumulate((e for _, e in covered), max))
     for m in BARE.finditer(text):
         value = m[0]
         if (any(c.isdigit() for c in value) and any(c.isupper() for c in value) and any(c.islower() for c in value)
-                and not any(s < m.end() and m.start() < e for s, e in covered)):
+                and not ((k := bisect_left(starts, m.end())) and furthest[k - 1] > m.start())):
             found.append((m.start(), 3, m.end(), value))
     return sorted(found)
 
