@@ -213,13 +213,14 @@ def packed(ids: list[int]) -> bytes:
 
 
 def encode_texts(docs: DataFrame, text: str, vocabulary_path: str, out: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of each text, as little-endian unsigned 32-bit integers.
+    """``docs`` with the token ids of each text, as little-endian unsigned 32-bit integers; an own column ``out`` gives way.
 
     Texts of one chunk are encoded where they are.  Longer ones are cut into chunks, which
     are dealt to all tasks, and put together again per document; see ``encode_long``.
     """
     vocabulary = load_vocabulary(docs.sparkSession, vocabulary_path)
     column = F.col(f"`{text}`")
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != out or c == text])
     keyed = docs.withColumn("__llm_long", F.coalesce(F.length(column) > CHUNK, F.lit(False)))
     short = keyed.where(~F.col("__llm_long")).drop("__llm_long").withColumn(out, _encoder(vocabulary)(F.coalesce(column, F.lit(""))))
     return short.unionByName(encode_long(keyed.where("__llm_long").drop("__llm_long"), text, vocabulary, out))

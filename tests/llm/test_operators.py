@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from pairloom.llm import bpe, decontaminate, fingerprints, near_duplicates, quality, url_filter, warc
+from pairloom.llm import bpe, decontaminate, fingerprints, near_duplicates, quality, secrets, url_filter, warc
 from pairloom.llm.queries import ORACLES, QUERIES
 from pairloom.llm.words import word_hashes
 
@@ -71,6 +72,26 @@ def test_rules_by_join_agree_with_the_trie(spark):
     assert key(got) == key(want)
 
 
+@pytest.mark.parametrize("limit", [8 << 20, 0])
+def test_rules_without_host_ties_and_many_labels(spark, limit):
+    rules = [("", "/", "block"), ("", "", "block"), ("a.b", "/x", "review"), ("a.b", "/x", "allow"), ("a.b", "/y", "allow"),
+             ("a.b", "/y", "block"), ("z", "/", "block"), (None, "/", "block")]
+    rules = spark.createDataFrame(rules, "host string, path string, verdict string")
+    many = "http://" + "l." * 3000 + "z/"
+    urls = ["no scheme", None, "http:///x", "http://a.b/x1", "http://c.a.b/y", many]
+    df = spark.createDataFrame([(u, "own") for u in urls], "url string, rule string")
+    got = {r.url: (r.rule, r.verdict) for r in url_filter.judge_urls(df, "url", rules, limit=limit).collect()}
+    assert [got[u] for u in urls] == [(None, "allow")] * 3 + [("a.b/x", "allow"), ("a.b/y", "block"), ("z/", "block")]
+
+
+def test_many_rules_in_one_folder():
+    trie = url_filter.RuleTrie([("a.b", f"/d/{i}", "block") for i in range(100_000)] + [("a.b", "/d/", "allow")])
+    began = time.perf_counter()
+    for _ in range(1000):
+        assert trie.judge("a.b", "/d/99999x") == ("block", "a.b/d/99999") and trie.judge("a.b", "/d/x") == ("allow", "a.b/d/")
+    assert time.perf_counter() - began < 1
+
+
 # 2
 
 def plain_links(texts):
@@ -571,3 +592,24 @@ def test_pipeline_of_hard_tables(spark, hard_dir, empty_dir):
     import corpus_pipeline
     assert corpus_pipeline.run(spark, empty_dir).collect() == []
     assert all(r.round_trip for r in corpus_pipeline.run(spark, hard_dir).collect())
+
+
+def test_secrets_of_a_long_text_full_of_spans():
+    """Linear in the spans; bare values that a base span overlaps stay out."""
+    part = 'token = "a1b2c3d4e5f6" Abcdefghij0123456789K deadbeef' + "0" * 20 + "\npassword: Abcdefghij0123456789KLMNO\n"
+    found = secrets.candidates(part)
+    assert [k for _, k, _, _ in found] == [0, 3, 2, 0]
+    began = time.perf_counter()
+    many = secrets.candidates(part * 20_000)
+    assert time.perf_counter() - began < 20 and len(many) == 4 * 20_000
+    assert [(s - len(part), k, e - len(part), v) for s, k, e, v in many[4:8]] == found
+
+
+def test_encoding_replaces_a_column_of_its_name(spark):
+    long = "word " * 30_000
+    df = spark.createDataFrame([(1, "short text", "own", "own"), (2, long, "own", "own"), (3, None, "own", "own")],
+                               "doc_id int, text string, ids string, decoded string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    got = bpe.decode_ids(bpe.encode_texts(df, "text", path), "ids", path)
+    assert sorted(got.columns) == ["decoded", "doc_id", "ids", "text"]
+    assert {r.doc_id: r.decoded for r in got.collect()} == {1: "short text", 2: long, 3: ""}
