@@ -41,7 +41,9 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     found = stored(found.where(F.size("spans") > 0).dropDuplicates(["doc_id"]).select(
         F.col("doc_id").alias("__llm_of"), F.transform("spans", lambda s: F.struct(s["start"], s["end"])).alias("__llm_spans")))
     joined = lookup_join(docs.withColumn("__llm_key", key), found, "__llm_key", "__llm_of", "left")
-    masked = F.when(F.col("__llm_spans").isNull(), F.col("text")).otherwise(secrets.mask_column(MASK)("text", "__llm_spans"))
+    # Only texts with something to mask go to Python.
+    there = F.col("__llm_spans").isNotNull()
+    masked = F.when(there, secrets.mask_column(MASK)(F.when(there, F.col("text")), "__llm_spans")).otherwise(F.col("text"))
     return joined.withColumn("text", masked).withColumn(
         "n_chars", F.when(F.col("__llm_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))
     ).select(*[F.col(f"`{c}`") for c in docs.columns])
