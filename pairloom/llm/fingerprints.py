@@ -19,9 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
-from pairloom.llm.shared import parts_for
+from pairloom.llm.shared import parts_for, stored
 
 BUCKETS = 128
 MAX_DIFFERENCE = 300
@@ -96,77 +97,83 @@ def fingerprint_texts(docs: DataFrame, text: str, out: str = "fingerprint") -> D
     return docs.withColumn(out, digests(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
 
 
-def with_following(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows (slot, guest, doc_id, tie, text) such that in a slot, ordered by guest, doc_id and tie
-    descending, every row is followed by its next document.
+RESULT = (("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
+          ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()))
+RESULT_DDL = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+              "near_edited double, near_next double")
+# Rows at the ends of a range, which wait for their neighbour: its first and its last text.
+FIRST, LAST = 1, 2
 
-    Slots are ranges of doc_id.  The first row of a slot is also sent, as a guest, to the slot
-    before it (that of the first slot to the last one), so each text crosses the network once,
-    plus one text per slot.  Null ids come last; equal ids are ordered by a hash of the text.
+
+def compared(ident: int | None, own: str, own_print: str, following: str, following_print: str) -> tuple:
+    """The result row of a text and the text after it."""
+    changed = edited(own, following).encode()
+    changed_print = digest(changed)
+    return (ident, len(own), hashlib.sha256(changed).hexdigest(), own_print, changed_print,
+            likeness(own_print, changed_print), likeness(own_print, following_print))
+
+
+def _batch(rows: list[tuple], types: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), types, strict=True)], [n for n, _ in types])
+
+
+def in_ranges(docs: DataFrame, doc_id: str, text: str, ranges: int | None = None) -> DataFrame:
+    """Rows (doc_id, tie, row, text) in the order of the next document, in as many sorted partitions as their
+    bytes ask for: doc_id descending, null ids last, equal ids by a hash of the text.
+
+    Rows equal in both are told apart by a row number, so neither null nor repeated ids fill one partition.
     """
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    rows = rows.withColumn("tie", F.xxhash64("text"))
-    size, count = rows.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    slots = min(max(1, count or 0), 4 * parts_for(size or 0))
-    cuts = rows.select(F.percentile_approx(
-        "doc_id", F.array(*[F.lit(i / slots) for i in range(1, slots)]) if slots > 1 else F.array(F.lit(0.5)), 100_000)).first()[0]
-    cuts = sorted(set(cuts or ()), reverse=True)
-    bound = F.array(*[F.lit(c).cast("bigint") for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    # The number of cuts above the id: slots rise as ids fall; nulls go to the last slot of all.
-    slot = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(
-        F.size(F.filter(bound, lambda c: c > F.col("doc_id"))))
-    rows = rows.withColumn("slot", slot)
-    # One row per slot, so its size is that of the list of cuts.
-    firsts = rows.groupBy("slot").agg(F.max(F.struct("doc_id", "tie")).alias("first")).collect()
-    order = sorted(firsts, key=lambda r: r["slot"])
-    heads = [(r["slot"], r["first"]["doc_id"], r["first"]["tie"], order[i - 1]["slot"]) for i, r in enumerate(order)]
-    spark = docs.sparkSession
-    heads = spark.createDataFrame(heads, "slot int, head_id bigint, head_tie bigint, before int")
-    joined = rows.join(F.broadcast(heads), "slot", "left")
-    is_head = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("tie") == F.col("head_tie"))
-    place = lambda s, guest: F.struct(F.col(s).cast("int").alias("slot"), F.lit(guest).alias("guest"))
-    places = F.when(is_head, F.array(place("slot", 0), place("before", 1))).otherwise(F.array(place("slot", 0)))
-    placed = joined.select(F.explode(places).alias("p"), "doc_id", "tie", "text").select("p.*", "doc_id", "tie", "text")
-    return placed.repartition(parts_for(size or 0, 8 << 20), "slot").sortWithinPartitions(
-        "slot", "guest", F.desc_nulls_last("doc_id"), F.desc("tie"))
-
-
-def compare_with_following(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    rows = rows.withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    ranges = ranges or parts_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, 4 << 20)
+    order = [F.desc_nulls_last("doc_id"), F.desc("tie"), F.asc("row")]
+    return rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+
+
+def compare_with_following(docs: DataFrame, doc_id: str, text: str, ranges: int | None = None) -> DataFrame:
     """Per document: its digest, that of its text edited with the next document, and likenesses.
 
     The next document is the one of the next smaller doc_id; after the last comes the first.
-    A lone document follows itself.
+    A lone document follows itself.  Null ids come last, equal ids are ordered by a hash of the text.
+
+    Texts cross the network once, into ranges.  A range compares its neighbouring rows and passes on
+    its first and last text; the last of each is then compared with the first of the next range.
     """
-    def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, out = None, []  # the row waiting for its successor: slot, doc_id, text, digest
+    types = (*RESULT, ("end", pa.int32()), ("part", pa.int32()), ("own", pa.string()))
 
+    def compare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), None  # the row waiting for its successor
         for batch in parts:
-            for slot, guest, ident, value in zip(*(batch.column(i) for i in (0, 1, 2, 4)), strict=True):
-                slot, guest, ident, value = slot.as_py(), guest.as_py(), ident.as_py(), value.as_py()
+            out = []
+            for ident, value in zip(batch.column(0), batch.column(3), strict=True):
+                ident, value = ident.as_py(), value.as_py()
                 print_ = digest(value.encode())
-                if before is not None and before[0] == slot:
-                    out.append(finish(before, value, print_))
-                before = None if guest else (slot, ident, value, print_)
+                if before is None:
+                    out.append((ident, None, None, print_, None, None, None, FIRST, part, value))
+                else:
+                    out.append((*compared(*before, value, print_), 0, part, None))
+                before = ident, value, print_
             if out:
-                yield as_batch(out)
-                out = []
-
-    def finish(row: tuple, value: str, print_: str) -> tuple:
-        _, ident, own, own_print = row
-        changed = edited(own, value).encode()
-        changed_print = digest(changed)
-        return (ident, len(own), hashlib.sha256(changed).hexdigest(), own_print, changed_print,
-                likeness(own_print, changed_print), likeness(own_print, print_))
-
-    types = (("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
-             ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()),
-             ("near_next", pa.float64()))
-
-    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), types, strict=True)], [n for n, _ in types])
-
-    return with_following(docs, doc_id, text).mapInArrow(
-        compare, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
-        "edited_fingerprint string, near_edited double, near_next double")
+                yield _batch(out, types)
+        if before is not None:
+            ident, value, print_ = before
+            yield _batch([(ident, None, None, print_, None, None, None, LAST, part, value)], types)
+
+    def close(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            for at in range(0, batch.num_rows, 8):
+                rows = zip(*(c.to_pylist() for c in batch.slice(at, 8).columns), strict=True)
+                yield _batch([compared(*row) for row in rows], RESULT)
+
+    done = stored(in_ranges(docs, doc_id, text, ranges).select("doc_id", "tie", "row", "text").mapInArrow(
+        compare, RESULT_DDL + ", end int, part int, own string"))
+    firsts = done.where(F.col("end") == FIRST).select("part", F.col("own").alias("next"), F.col("fingerprint").alias("next_print"))
+    # One number per range that has rows, so the window is as long as the list of ranges.
+    after = firsts.select("part").withColumns({
+        "after": F.lead("part").over(Window.orderBy("part")), "start": F.min("part").over(Window.partitionBy(F.lit(0)))})
+    after = after.select("part", F.coalesce("after", "start").alias("after"))
+    lasts = done.where(F.col("end") == LAST).select("part", "doc_id", "own", "fingerprint").join(after, "part")
+    ends = lasts.join(firsts.withColumnRenamed("part", "after"), "after").select("doc_id", "own", "fingerprint", "next", "next_print")
+    return done.where(F.col("end") == 0).select(*[n for n, _ in RESULT]).unionByName(ends.mapInArrow(close, RESULT_DDL))

@@ -243,22 +243,75 @@ def test_widely_copied_values_are_examples(spark):
 
 # 5
 
-def test_fingerprints(spark, sf_dir):
-    docs = sorted(((-1 if i is None else i, t or "") for i, t in docs_of(sf_dir)), key=lambda d: -d[0])
-    got = result(spark, "op5_fingerprints", sf_dir)
-    assert len(got) == len(docs)
-    if "hard" in sf_dir:
-        return
-    got = {r["doc_id"]: r for r in got}
+def plain_digest(data):
+    """The digest byte by byte, with whole numbers only."""
+    counts = [0] * 128
+    if len(data) < 5:
+        for place, byte in enumerate(data):
+            counts[(byte * 31 + place * 7 + len(data)) % 128] += 1
+    for at in range(len(data) - 4):
+        w = data[at:at + 5]
+        for salt, (i, j) in enumerate([(1, 2), (1, 3), (2, 3), (2, 4), (1, 4), (3, 4)]):
+            h = (((w[0] << 16 | w[i] << 8 | w[j]) + (salt << 24)) * 0x9E3779B1) & 0xFFFFFFFF
+            h = ((h ^ h >> 15) * 0x9E3779B1) & 0xFFFFFFFF
+            counts[h >> 25] += 1
+    q1, q2, q3 = (sorted(counts)[k] for k in (31, 63, 95))
+    codes = [0 if c <= q1 else 1 if c <= q2 else 2 if c <= q3 else 3 for c in counts]
+    head = [min(255, round(8 * np.log2(1 + len(data)))), *(min(15, 16 * q // (q3 + 1)) for q in (q1, q2))]
+    return head, codes
+
+
+def read_digest(text):
+    bits = bytes.fromhex(text[6:])
+    return [int(text[:2], 16), int(text[2], 16), int(text[3], 16)], [b >> s & 3 for b in bits for s in (0, 2, 4, 6)]
+
+
+def plain_likeness(a, b):
+    (ha, ca), (hb, cb) = a, b
+    apart = sum(6 if abs(x - y) == 3 else abs(x - y) for x, y in zip(ca, cb, strict=True))
+    return 1 - min(300, apart + sum(abs(x - y) for x, y in zip(ha, hb, strict=True))) / 300
+
+
+def check_following(got, docs):
+    """``docs`` in the order of the next document."""
+    want = Counter()
+    prints = [plain_digest(t.encode()) for _, t in docs]
     for k, (i, t) in enumerate(docs):
-        following = docs[(k + 1) % len(docs)][1]
+        n = (k + 1) % len(docs)
         half = len(t) // 2
-        changed = t[:len(t) - half] + following[:half]
-        r = got[i]
-        own, other = fingerprints.digest(t.encode()), fingerprints.digest(changed.encode())
-        assert (r["n_chars"], r["edited_sha256"], r["fingerprint"], r["edited_fingerprint"]) == (len(t), sha(changed), own, other)
-        assert r["near_edited"] == fingerprints.likeness(own, other)
-        assert r["near_next"] == fingerprints.likeness(own, fingerprints.digest(following.encode()))
+        changed = t[:len(t) - half] + docs[n][1][:half]
+        other = plain_digest(changed.encode())
+        want[i, len(t), sha(changed), str(prints[k]), str(other), round(plain_likeness(prints[k], other), 9),
+             round(plain_likeness(prints[k], prints[n]), 9)] += 1
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"], str(read_digest(r["fingerprint"])),
+                    str(read_digest(r["edited_fingerprint"])), round(r["near_edited"], 9), round(r["near_next"], 9))
+                   for r in got) == want
+
+
+def test_fingerprints(spark, sf_dir):
+    docs = sorted(((i, t or "") for i, t in docs_of(sf_dir)), key=lambda d: float("inf") if d[0] is None else -d[0])
+    check_following(result(spark, "op5_fingerprints", sf_dir), docs)
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7, 40])
+def test_fingerprints_over_ranges(spark, ranges):
+    """Ids that are null or equal, alone and in many rows; ranges without rows."""
+    ids = [5, 9, 9, None, None, 3, *[4] * 9, *[None] * 9]
+    texts = [None, "b b b b b b", "a", "null id", "", "three", *["four four"] * 9, *["same"] * 9]
+    df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "id bigint, t string").repartition(3)
+    from pyspark.sql import functions as F
+    ties = {r.t: r.h for r in df.select(F.coalesce("t", F.lit("")).alias("t"), F.xxhash64(F.coalesce("t", F.lit(""))).alias("h")).collect()}
+    docs = sorted(((i, t or "") for i, t in zip(ids, texts, strict=True)),
+                  key=lambda d: (float("inf") if d[0] is None else -d[0], -ties[d[1]]))
+    check_following([r.asDict() for r in fingerprints.compare_with_following(df, "id", "t", ranges).collect()], docs)
+
+
+def test_null_ids_fill_many_ranges(spark):
+    df = spark.range(40_000).selectExpr("cast(null as bigint) id", "'same text' t")
+    sizes = [len(p) for p in fingerprints.in_ranges(df, "id", "t", 8).select("row").rdd.glom().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 8_000
+    got = fingerprints.compare_with_following(df.limit(500), "id", "t", 8)
+    assert got.distinct().count() == 1 and got.count() == 500
 
 
 def test_digest_in_pieces_and_likeness(monkeypatch):
