@@ -14,8 +14,9 @@ Step 2 is exact: a token sequence is the encoding of its text if and only if eve
 neighbours are, and with agreement at both ends every pair lies inside one of three encodings.
 
 Null texts count as empty and have no tokens.  The string of a special token in a text becomes
-that token.  Characters beyond ``PLAIN_LIMIT``, whose classes may depend on a library's version
-of Unicode, are left to the tokenizers library itself, chunk by chunk.
+that token.  Classes of characters beyond U+052F may depend on a library's version of Unicode:
+texts with such characters are split into pieces by the tokenizers library's own rule, whole
+texts, halves and windows around a join alike.
 """
 
 from __future__ import annotations
@@ -105,9 +106,15 @@ class ByteBpe:
 
     # Unsplit text: pieces with their tokens.
 
+    def split_text(self, text: str) -> list[str]:
+        """The pieces of a text without special tokens."""
+        if OTHER.search(text):
+            return [text[start:end] for _, (start, end) in self.exact.pre_tokenizer.pre_tokenize_str(text)]
+        return self.split.findall(text)
+
     def pieces(self, text: str) -> list[tuple[str, list[int]]]:
         """(piece, its tokens) of a text without special tokens."""
-        return [(p, self.piece(p.encode())) for p in self.split.findall(text)]
+        return [(p, self.piece(p.encode())) for p in self.split_text(text)]
 
     def join_pieces(self, left: list, right: list) -> list:
         """The pieces of a text from those of its two parts.
@@ -122,7 +129,7 @@ class ByteBpe:
         while True:
             head = right[:take]
             seam = "".join(p for p, _ in tail)
-            window = self.split.findall(seam + "".join(p for p, _ in head))
+            window = self.split_text(seam + "".join(p for p, _ in head))
             starts, at = {}, len(seam)
             for k, (p, _) in enumerate(head):
                 starts[at] = k
@@ -162,14 +169,14 @@ def chunks_of(text: str, special: list[str], size: int = CHUNK) -> list[tuple[st
     """The text in chunks of about ``size``; the flag says that the cut before it is not a sure one.
 
     Cuts go where a piece is sure to begin.  Where none comes for another ``size``, the stretch
-    is unsplit and cut anywhere, unless it must be left to the library as a whole.
+    is unsplit and cut anywhere, unless it holds a special token.
     """
     out, at, free = [], 0, False
     while len(text) - at > size:
         found = CUT.search(text, at + size)
         end = found.end() if found else len(text)
         stretch = text[at:end]
-        if end - at > 2 * size and not OTHER.search(stretch) and not any(s in stretch for s in special):
+        if end - at > 2 * size and not any(s in stretch for s in special):
             for start in range(0, len(stretch), size):
                 out.append((stretch[start:start + size], free or start > 0))
         else:
@@ -182,7 +189,7 @@ def chunks_of(text: str, special: list[str], size: int = CHUNK) -> list[tuple[st
 
 def encode_chunk(bpe: ByteBpe, text: str) -> list[int]:
     """Tokens of a chunk; stretches with a very long run go by tree concatenation."""
-    if len(text) <= LEAF or not RUN.search(text) or OTHER.search(text):
+    if len(text) <= LEAF or not RUN.search(text):
         return bpe.chunk(text)
     out: list[int] = []
     specials = "|".join(map(re.escape, bpe.special)) or r"(?!)"

@@ -488,6 +488,38 @@ def test_tree_concatenation(tokenizers_library, monkeypatch):
             pytest.fail(text)
 
 
+SCRIPTS = ["日本語テキスト、。！ー", "กขคงจฉชซ่้๊", "\U0001f600\U0001f389\U0001f44d\U0001f3fd\u200d", "한국어조선", "العربية ", "عدد١٢٣", "\u3000 \xa0 \n\t",
+           "abc 's 'll", "०१२हिन्दी", "123½Ⅷ", "\u180e\u200b\x85\x1c"]
+
+
+def test_tree_concatenation_in_all_scripts(monkeypatch):
+    vocabulary = open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read()
+    own, library, rnd = bpe.ByteBpe(vocabulary), Tokenizer.from_str(vocabulary), random.Random(3)
+    for _ in range(1500):
+        letters = "".join(rnd.sample(SCRIPTS, rnd.randint(1, 3)))
+        text = "".join(rnd.choice(letters) for _ in range(rnd.randint(1, 120)))
+        want = library.encode(text, add_special_tokens=False).ids
+        monkeypatch.setattr(bpe, "LEAF", rnd.choice([4, 9, 23]))
+        assert [i for _, p in own.unsplit(text) for i in p] == want
+        parts = bpe.chunks_of(text, [], rnd.randint(5, 30))
+        rows = []
+        for k, (c, free) in enumerate(parts):
+            seam = free or (k + 1 < len(parts) and parts[k + 1][1])
+            pieces = own.unsplit(c) if seam else None
+            ids = bpe.encode_chunk(own, c) if pieces is None else [i for _, p in pieces for i in p]
+            rows.append({"free": free, "ids": bpe.packed(ids), "sizes": None if pieces is None else [len(p) for _, p in pieces]})
+        assert bpe._assembled(own, rows) == bpe.packed(want)
+
+
+def test_long_unsplit_text_beyond_latin_goes_to_many_tasks(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, rnd = Tokenizer.from_file(path), random.Random(4)
+    texts = ["".join(rnd.choice("日本語漢字仮名交文") for _ in range(300_000)), "x" * 200_000 + "\U0001f600" + "y" * 200_000]
+    assert [len(bpe.chunks_of(t, [])) for t in texts] == [5, 7]
+    got = bpe.encode_texts(spark.createDataFrame([(t,) for t in texts], "text string"), "text", path).collect()
+    assert {r.text: bytes(r.ids) for r in got} == {t: bpe.packed(library.encode(t, add_special_tokens=False).ids) for t in texts}
+
+
 # 9
 
 def test_warc_round_trip(spark, hard_dir):
