@@ -8,6 +8,9 @@ by minimising the non-negative unbiased risk: with class prior p, positives P an
 with the logistic loss, so that its output is the probability of the positive class.  When a
 batch drives the second term below zero, the step goes the other way, as the method asks.
 
+The prior is estimated from positives and unlabelled text alone (``estimate_prior``); labels of
+bad documents are never read.
+
 Only the fit is bounded: at most ``MAX_POSITIVES`` positives and ``MAX_UNLABELLED`` unlabelled
 documents, those with the smallest hash of their id.  Every document is scored.  Null texts count
 as empty; empty texts get the score of their (all zero) numbers.  Repeated rows score alike.
@@ -17,6 +20,7 @@ Without any positive the prior is 0.5 and every score is the prior.
 from __future__ import annotations
 
 import operator
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,6 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 MAX_POSITIVES, MAX_UNLABELLED = 8_000, 12_000
 HIDDEN, STEPS, BATCH, RATE, DECAY = 16, 800, 1000, 0.01, 1e-4
+LEAST_ROWS, FOLDS, CONFIDENCE = 20, 4, 0.1  # of the estimate of the prior
 HELD_OUT = 1  # remainder of crc32(id) mod 3 whose labels are never learned from
 
 _GROUPS = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t", b"\n\r", b".,;:", b"!?", b"|", b"#$%&*@^~", b"<>{}[]()/\\=_",
@@ -76,6 +81,22 @@ class Network:
         dh = np.outer(dz, v) * (1 - hidden ** 2)
         return [x.T @ dh, dh.sum(0), hidden.T @ dz, dz.sum(keepdims=True)]
 
+    def risk(self, p: np.ndarray, u: np.ndarray) -> tuple[float, float]:
+        """Both terms of the risk, the second one as it is, even below zero."""
+        zp, zu = self._forward(p)[1], self._forward(u)[1]
+        return (float(self.prior * np.logaddexp(0, -zp).mean()),
+                float(np.logaddexp(0, zu).mean() - self.prior * np.logaddexp(0, zp).mean()))
+
+    def direction(self, p: np.ndarray, u: np.ndarray) -> list[np.ndarray]:
+        """Gradient of the risk, or of minus its second term where that is below zero."""
+        sp, su = (1 / (1 + np.exp(-self._forward(x)[1])) for x in (p, u))
+        minus = self._gradient(u, su / len(u)), self._gradient(p, -self.prior * sp / len(p))
+        down = [a + b for a, b in zip(*minus, strict=True)]
+        if self.risk(p, u)[1] < 0:
+            return [-g for g in down]
+        up = self._gradient(p, self.prior * (sp - 1) / len(p))
+        return [a + b for a, b in zip(up, down, strict=True)]
+
     def fit(self, positive: np.ndarray, unlabelled: np.ndarray, seed: int = 7) -> Network:
         if not len(positive) or not len(unlabelled):
             return self
@@ -90,17 +111,7 @@ class Network:
         for step in range(1, STEPS + 1):
             u = unlabelled[rng.integers(0, len(unlabelled), BATCH)]
             p = positive[rng.integers(0, len(positive), BATCH)]
-            _, zp = self._forward(p)
-            _, zu = self._forward(u)
-            negative = np.logaddexp(0, zu).mean() - self.prior * np.logaddexp(0, zp).mean()
-            sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
-            minus = self._gradient(u, su / len(u)), self._gradient(p, -self.prior * sp / len(p))
-            down = [a + b for a, b in zip(*minus, strict=True)]
-            if negative < 0:
-                grads = [-g for g in down]
-            else:
-                up = self._gradient(p, self.prior * (sp - 1) / len(p))
-                grads = [a + b for a, b in zip(up, down, strict=True)]
+            grads = self.direction(p, u)
             rate = RATE * (1 - step / (STEPS + 1))
             for i, g in enumerate(grads):
                 g = g + DECAY * self.weights[i]
@@ -119,6 +130,28 @@ class Network:
         return 1 / (1 + np.exp(-self._forward(self._scaled(x))[1]))
 
 
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, fold_p: np.ndarray, fold_u: np.ndarray) -> float:
+    """The share of positives among unlabelled rows, by the best bin of a classifier's scores.
+
+    Each fold is scored by a network fitted on the others; a document that is in both lists must
+    have one fold.  Above any score the share of unlabelled rows divided by that of positives bounds
+    the prior from above; the least such bound, with an allowance for the few rows of a small bin,
+    is the estimate.  Fewer than ``LEAST_ROWS`` rows on either side say nothing: 0.5.
+    """
+    if min(len(positive), len(unlabelled)) < LEAST_ROWS:
+        return 0.5
+    p, u = [], []
+    for k in range(FOLDS):
+        model = Network(0.5).fit(positive[fold_p != k], unlabelled[fold_u != k])
+        p.append(model.score(positive[fold_p == k]))
+        u.append(model.score(unlabelled[fold_u == k]))
+    p, u = np.sort(np.concatenate(p)), np.sort(np.concatenate(u))
+    slack = sum(np.sqrt(np.log(4 / CONFIDENCE) / (2 * n)) for n in (len(p), len(u)))
+    above_p, above_u = (1 - np.searchsorted(x, p) / len(x) for x in (p, u))
+    best = np.argmin((above_u + (1 + CONFIDENCE / 10) * slack) / above_p)
+    return float(np.clip(above_u[best] / above_p[best], 0.01, 0.99))
+
+
 @F.arrow_udf(T.ArrayType(T.DoubleType()))
 def feature_column(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in texts:
@@ -141,8 +174,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
                 label: str = "quality") -> Network:
     """A network from the labels of rows that are not held out; ``label`` 1 is positive."""
     given = labels.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{label}`").alias("y"))
-    given = given.where(~held_out(F.col("doc_id"))).dropna()
-    prior = given.agg(F.avg((F.col("y") == 1).cast("double"))).first()[0]
+    given = given.where(~held_out(F.col("doc_id")))
     own = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("_text"))
     trainable = own.select("doc_id").where(~held_out(F.col("doc_id")))
     positives = _smallest(given.where("y = 1").select("doc_id"), MAX_POSITIVES)
@@ -155,7 +187,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     width = len(NAMES)
     positive = np.array([r["x"] for r in rows if r["p"]]).reshape(-1, width)
     free = np.array([r["x"] for r in rows if r["u"]]).reshape(-1, width)
-    return Network(0.5 if prior is None else min(0.99, max(0.01, prior))).fit(positive, free)
+    folds = np.array([zlib.crc32(str(r["doc_id"]).encode()) // 3 % FOLDS for r in rows], np.int64)
+    fold_p, fold_u = (folds[np.array([bool(r[name]) for r in rows], bool)] for name in ("p", "u"))
+    return Network(estimate_prior(positive, free, fold_p, fold_u)).fit(positive, free)
 
 
 def score_quality(docs: DataFrame, model: Network, text: str = "text", out: str = "score") -> DataFrame:

@@ -348,6 +348,45 @@ def test_held_out_labels_change_nothing(spark):
     assert all((x == y).all() for x, y in zip(a.weights, b.weights, strict=True))
 
 
+def test_labels_of_bad_documents_are_not_read(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    a, b = (quality.fit_quality(docs, x) for x in (labels, labels.where("quality = 1")))
+    assert a.prior == b.prior and all((x == y).all() for x, y in zip(a.weights, b.weights, strict=True))
+
+
+@pytest.mark.parametrize("share", [0.3, 0.6, 0.9])
+def test_prior_from_positives_and_unlabelled(share):
+    rng = np.random.default_rng(1)
+    good = lambda n: rng.normal(1.5, 1, (n, 3))
+    mixed = np.concatenate([good(int(4000 * share)), rng.normal(-1.5, 1, (4000 - int(4000 * share), 3))])
+    folds = np.arange(4000) % quality.FOLDS
+    assert abs(quality.estimate_prior(good(3000), mixed, folds[:3000], folds) - share) < 0.06
+    assert quality.estimate_prior(good(5), mixed, folds[:5], folds) == 0.5
+
+
+@pytest.mark.parametrize("below", [False, True])
+def test_risk_gradient_by_finite_differences(below):
+    """Both branches: the second term of the risk above and below zero."""
+    rng = np.random.default_rng(1)
+    p, u = rng.normal(1, 1, (40, 4)), rng.normal(-2, 1, (50, 4))
+    net = quality.Network(0.95)
+    net.weights = [rng.normal(0, 0.5, (4, quality.HIDDEN)), rng.normal(0, 0.1, quality.HIDDEN), rng.normal(0, 0.5, quality.HIDDEN),
+                   np.array([0.1])]
+    if below:
+        net.weights[0][:], net.weights[2][:] = 0.3, 0.5
+    assert (net.risk(p, u)[1] < 0) == below
+    for w, g in zip(net.weights, net.direction(p, u), strict=True):
+        for at in [0, w.size // 2, w.size - 1]:
+            flat, step = w.reshape(-1), 1e-6
+            kept, values = flat[at], []
+            for move in (step, -step):
+                flat[at] = kept + move
+                first, second = net.risk(p, u)
+                values.append(-second if below else first + second)
+            flat[at] = kept
+            assert abs((values[0] - values[1]) / (2 * step) - g.reshape(-1)[at]) < 1e-6
+
+
 def test_quality_of_hard_texts(spark, hard_dir):
     got = result(spark, "op6_quality", hard_dir)
     assert len(got) == len(docs_of(hard_dir)) and all(0 <= r["score"] <= 1 for r in got)
