@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pairloom.llm.components import components
 from pairloom.llm.shared import stored, text_key
 from pairloom.llm.words import gram_hashes, word_hashes
-from pairloom.operators.joins import lookup_join
+from pairloom.operators.joins import fits_broadcast, lookup_join
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -357,7 +357,9 @@ def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     repeated = stored(repeated.join(kept, "__llm_key", "left_semi"))
     keyed = docs.withColumn("__llm_key", F.struct(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
                                              text_key(F.col(f"`{text}`")).alias("text_key")))
-    left = keyed.join(kept, keyed["__llm_key"].eqNullSafe(kept["__llm_key"]), "left_semi")
+    # Up to the size of a broadcast the texts stay where they are; beyond it they are shuffled once, by unique keys.
+    ids = F.broadcast(kept) if fits_broadcast(kept) else kept
+    left = keyed.join(ids, keyed["__llm_key"].eqNullSafe(kept["__llm_key"]), "left_semi")
     if repeated.isEmpty():
         return left.drop("__llm_key")
     # Rows that are equal in id and text: one of them stays.
