@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.llm import bpe, decontaminate, near_duplicates, quality, secrets
 from pairloom.llm.queries import VOCABULARY
-from pairloom.llm.shared import shared_folder, stored, table, text_key
+from pairloom.llm.shared import shared_folder, small_batches, stored, table, text_key
 from pairloom.operators.joins import lookup_join
 
 MASK = "[secret]"
@@ -15,17 +15,20 @@ MASK = "[secret]"
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good; it is fitted on ``docs`` and the given labels."""
+    small_batches(spark)
     model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score_quality(docs, model, out="__llm_score").where("__llm_score >= 0.5").drop("__llm_score")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id."""
+    small_batches(spark)
     return near_duplicates.keep_representatives(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
+    small_batches(spark)
     found = decontaminate.find_passages(docs, "text", spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out="__llm_found")
     return found.where(F.size("__llm_found.spans") == 0).drop("__llm_found")
 
@@ -35,6 +38,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     What is found depends on the text alone, so spans are looked up by text.
     """
+    small_batches(spark)
     key = text_key(F.col("text"))
     found = secrets.find_secrets(docs.withColumn("__llm_key", key), "__llm_key", "text", F.concat_ws("/", "source", "lang"),
                                  F.col("source"))
@@ -51,6 +55,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: its tokens and their digest, and whether decoding gives the text back."""
+    small_batches(spark)
     path = public_tokenizers.path(VOCABULARY)
     coded = bpe.decode_ids(bpe.encode_texts(docs.select("doc_id", "text"), "text", path), "ids", path)
     return coded.select(
