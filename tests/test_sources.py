@@ -328,3 +328,28 @@ def test_a_document_with_too_many_lines_for_its_ids_fails(spark, monkeypatch):
     longer = spark.createDataFrame([(1, "s", "a\nb\nc\nx"), (2, "s", "d")], "doc_id bigint, source string, text string")
     with pytest.raises(Exception, match="too many lines for the ids of document 1"):
         views.adjacent_lines(longer).collect()
+
+
+def _staged_sizes(spark, tmp_path, monkeypatch, query, pattern, ids):
+    """The rows of a query over documents of 100 characters, and the bytes of the files that it stages."""
+    from checks import queries_sources
+    from pairloom.sources import spread
+    monkeypatch.setattr(spread, "PART_BYTES", 2000, raising=False)
+    monkeypatch.setattr(queries_sources, "staging_folder", lambda _: str(tmp_path / "staged"))
+    docs = spark.createDataFrame([(i, "en", "s", f"{n:05d}\n{'x' * 94}") for n, i in enumerate(ids)], "doc_id long, lang string, source string, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = query(spark, str(tmp_path)).collect()
+    return rows, [p.stat().st_size for p in (tmp_path / "staged").glob(pattern)]
+
+
+# A third of the ids are equal, and some null: they come first, and stay as they are read.
+REPEATED = sorted([None] * 30 + [7] * 100 + list(range(170)), key=lambda i: -1 if i is None else i)
+
+
+def test_csv_records_are_staged_in_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    from checks.queries_sources import src_table_csv_records
+    rows, sizes = _staged_sizes(spark, tmp_path, monkeypatch, src_table_csv_records, "table/*.csv", REPEATED)
+    for way in ("whole", "pieces"):
+        got = sorted((r.position, r.src) for r in rows if r.read == way)
+        assert got == [(n, f"{n:05d}\n{'x' * 94}") for n in range(300)]
+    assert len(sizes) > 10 and max(sizes) < 6000
