@@ -19,7 +19,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS = 65536
 MULTIPLIER = 31
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 256 << 10  # a byte takes some 80 bytes of arrays on its way to counts and cosines
 
 
 def text_chunks(texts: pa.Array) -> Iterator[pa.Array]:

@@ -8,13 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # ``stored`` cuts lineage: later steps read files, so a lost executor costs no recomputation,
 # and ids that depend on partitioning keep their values.
-from pairloom.session import cut_lineage as stored, staging_folder as shared_folder  # noqa: F401
+from pairloom.session import cut_lineage as stored, small_batches, staging_folder as shared_folder  # noqa: F401
 from pairloom.sources.spread import spread_small_input
 
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-BATCH_SETTING, DEFAULT_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", 4 << 20
-
 # Bytes of words: digits, a-z, everything outside ASCII.  The rest separates words.
 WORD_BYTES = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -24,16 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread_small_input(df, df.columns[0])
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Texts go to Python in batches of ``BATCH_BYTES``, where the session leaves that size at its default.
-
-    A batch lies in the executor's memory several times: as Arrow buffers on both sides and as Python
-    objects.  Its size never changes a result.
-    """
-    if spark.conf.get(BATCH_SETTING) == DEFAULT_BATCH:
-        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
-
-
 def words_of(text: bytes | None) -> list[bytes]:
     """Words of UTF-8 text with A-Z lower-cased; null has none."""
     return (text or b"").lower().translate(WORD_BYTES).split()

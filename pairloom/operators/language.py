@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pairloom.functions import grams
 from pairloom.functions.text import newline_to_space, strip_label_prefix
+from pairloom.session import small_batches
 
 WEIGHT_SCALE = 1000
 DETECTION = "code string, score double"
@@ -37,6 +38,7 @@ def gram_counts(labelled: DataFrame, lang: str, text: str, n: int) -> DataFrame:
             columns = [pa.array([code] * len(used)), pa.array(used), pa.array(total[used])]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "n_grams"])
 
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
     partial = rows.mapInArrow(count, "lang string, bucket bigint, n_grams bigint")
     return partial.groupBy("lang", "bucket").agg(F.sum("n_grams").alias("n_grams"))
@@ -84,6 +86,7 @@ class LanguageDetector:
     """Text column -> struct(code, score), for the session that ``df`` belongs to."""
 
     def __init__(self, profile: LanguageProfile, df: DataFrame):
+        small_batches(df.sparkSession)
         shared = df.sparkSession.sparkContext.broadcast(profile.weights)
         languages = np.array(profile.languages, dtype=object)
         n, scale = profile.n, WEIGHT_SCALE

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,8 +16,9 @@ from pairloom.functions import grams
 from pairloom.functions.fixed_values import ENCODER_FAMILIES
 from pairloom.functions.vectors import cosine
 from pairloom.operators import language, quality, semantic
-from pairloom.operators.language import LanguageProfile, Side
+from pairloom.operators.language import LanguageProfile, Side, gram_counts
 from pairloom.operators.scoring import attach_score
+from pairloom.session import BATCH_SETTING
 
 SAMPLES = ["", "a", "añ", "😀b　x", "hello world", "ß" * 5, "the end\nof it"]
 
@@ -187,3 +191,32 @@ def test_rows_are_scored_by_their_own_family(spark):
     assert [r.score for r in scored.orderBy("tgt_lang").collect()] == [14.0, None, 24.0]
     with pytest.raises(ValueError, match="unknown encoder"):
         semantic.routed_similarity(routed, {"none": seen(1)})
+
+
+def test_working_memory_does_not_grow_with_a_batch():
+    lines = pa.array([f"{i} " + "some words of a line " * 10 for i in range(40_000)])
+    tracemalloc.start()
+    try:
+        grams.cosines(lines, lines, 3, 64)
+        for part in grams.text_chunks(lines):
+            grams.gram_ids(part, 3)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 64 << 20
+
+
+def test_texts_are_counted_and_detected_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    texts = spark.range(3000, numPartitions=1).select(F.lit("en").alias("lang"), F.repeat(F.lit("word "), F.lit(2000)).alias("text"))
+    weights = np.zeros((1, grams.BUCKETS), np.int32)
+    for prepare in (lambda: gram_counts(texts, "lang", "text", 3), lambda: LanguageProfile(3, ("en",), weights).detector(texts)):
+        spark.conf.unset(BATCH_SETTING)
+        try:
+            prepare()
+            assert max(r.n for r in texts.mapInArrow(sizes, "n long").collect()) < 8 << 20
+        finally:
+            spark.conf.unset(BATCH_SETTING)
